@@ -34,19 +34,72 @@ def _rank_positions(n: int, q: float) -> tuple[int, int, float]:
 
 
 def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000, max_band: int = 200_000) -> dict:
-    """Exact q-quantile (linear interpolation, = DuckDB quantile_cont / pandas) per column."""
-    result = {}
-    spark_df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    counts = spark_df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    for c in cols:
-        n = counts[c]
-        if n == 0:
-            result[c] = None
-            continue
-        lo_r, hi_r, frac = _rank_positions(n, q)
-        vals = _order_stats(spark_df.select(c).filter(F.col(c).isNotNull()), c, [lo_r, hi_r], n, accuracy, max_band)
-        result[c] = vals[0] + (vals[1] - vals[0]) * frac
-    return result
+    """Exact q-quantile (linear interpolation, = DuckDB quantile_cont / pandas) per column.
+
+    All columns are resolved together: one pass for counts and sketch brackets, one pass for
+    the number of values below/inside each bracket, one collect of the bracketed values (at
+    most ``max_band`` per column). A column whose bracket misses is refined on its own.
+    """
+    cols = list(cols)
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = base.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+        need = {}
+        for c in cols:
+            if counts[c]:
+                need[c] = _rank_positions(counts[c], q)
+        big = [c for c in need if counts[c] > max_band]
+        brackets = {}
+        if big:
+            eps = 2.0 / accuracy
+            aggs = []
+            for c in big:
+                lo_r, hi_r, _ = need[c]
+                p = [max(lo_r / counts[c] - eps, 0.0), min(hi_r / counts[c] + eps, 1.0)]
+                aggs.append(F.percentile_approx(c, p, accuracy).alias(c))
+            row = base.agg(*aggs).first()
+            brackets = {c: tuple(row[c]) for c in big}
+            aggs = []
+            for c, (lo, hi) in brackets.items():
+                aggs += [F.count(F.when(F.col(c) < lo, 1)).alias(f"{c}__below"),
+                         F.count(F.when((F.col(c) >= lo) & (F.col(c) <= hi), 1)).alias(f"{c}__inside")]
+            stat = base.agg(*aggs).first()
+        resolved, fallback = {}, []
+        parts = []
+        for c in need:
+            lo_r, hi_r, _ = need[c]
+            if c in brackets:
+                below, inside = stat[f"{c}__below"], stat[f"{c}__inside"]
+                if not (below <= lo_r and hi_r < below + inside and inside <= max_band):
+                    fallback.append(c)
+                    continue
+                lo, hi = brackets[c]
+                cond = (F.col(c) >= lo) & (F.col(c) <= hi)
+            else:
+                below, cond = 0, F.col(c).isNotNull()
+            resolved[c] = below
+            parts.append(base.filter(cond).select(F.lit(c).alias("column"), F.col(c).alias("value")))
+        values: dict[str, list] = {c: [] for c in resolved}
+        if parts:
+            union = parts[0]
+            for p in parts[1:]:
+                union = union.unionByName(p)
+            for r in union.toLocalIterator():
+                values[r[0]].append(r[1])
+        result = {c: None for c in cols}
+        for c, below in resolved.items():
+            v = np.sort(np.asarray(values[c], dtype=float))
+            lo_r, hi_r, frac = need[c]
+            a, b = v[lo_r - below], v[hi_r - below]
+            result[c] = float(a + (b - a) * frac)
+        for c in fallback:
+            lo_r, hi_r, frac = need[c]
+            a, b = _order_stats(base.select(c).filter(F.col(c).isNotNull()), c, [lo_r, hi_r], counts[c],
+                                accuracy * 10, max_band)
+            result[c] = a + (b - a) * frac
+        return result
+    finally:
+        base.unpersist()
 
 
 def _order_stats(col_df: DataFrame, c: str, ranks, n: int, accuracy: int, max_band: int) -> list[float]:

@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 FEATURES = "features"
 
 
-def assemble(df: DataFrame, cols, out: str = FEATURES) -> DataFrame:
-    """Dense feature vector (NULL kept as NaN — trees in Spark ML reject NaN, so impute first)."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+def assemble(df: DataFrame, cols, out: str = FEATURES, invalid: str = "keep") -> DataFrame:
+    """Dense feature vector; ``invalid='keep'`` turns NULL into NaN (impute first for trees),
+    ``'skip'`` drops rows with a NULL feature."""
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=invalid).transform(df)
 
 
 def label_sd(df: DataFrame, label: str, population: bool) -> float:
@@ -68,7 +69,7 @@ def spark_linear_params(spec: LinearSpec, n: int, sd_y: float) -> tuple[float, f
     return reg, (l1 / reg if reg > 0 else 0.0)
 
 
-def fit_linear(train: DataFrame, label: str, spec: LinearSpec, features: str = FEATURES, max_iter: int = 200):
+def fit_linear(train: DataFrame, label: str, spec: LinearSpec, features: str = FEATURES, max_iter: int = 100):
     """L1/L2/L4/L5 on assembled features."""
     n = train.count()
     solver = "normal" if spec.kind in ("ols", "ridge") else "auto"
@@ -76,7 +77,7 @@ def fit_linear(train: DataFrame, label: str, spec: LinearSpec, features: str = F
     reg, en = spark_linear_params(spec, n, sd)
     lr = LinearRegression(
         featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=en, standardization=False,
-        solver=solver, maxIter=max_iter, tol=1e-10,
+        solver=solver, maxIter=max_iter, tol=1e-8,
     )
     return lr.fit(train)
 

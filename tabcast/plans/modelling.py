@@ -1 +1,390 @@
-"""Model-training queries (no SQL oracle; checked by property tests)."""
+"""Model-training queries (L, T, B1/B2/B6/B7 on trained models, E4, E10, S7, S8, full preprocessing).
+
+Trained models have no SQL form; these entries are checked by property tests and the
+driver's rows-only check. Every fit is a Spark ML job over the whole labelled table.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabcast.functions.mathx import yes_no_code
+from tabcast.operators import encode, ensemble, impute, knn, metrics, models, solve, split, tune
+from tabcast.operators.joins import align
+from tabcast.plans.catalogue import KEY, LOG, SEED, TARGET, engineered, labelled, unlabelled
+from tabcast.plans.preprocess import preprocess
+from tabcast.schema import columns_by_type
+from tabcast.session import scratch_path
+from tabcast.sources import sinks
+
+RESERVED = (KEY, TARGET, LOG, "Target_Shift_Value", "Hospital_Location", "Supplier_Name")
+
+
+def model_frame(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    """Labelled rows → categoricals filled and label-encoded, numerics median-filled (exact, fitted on
+    all labelled rows), one feature vector; persisted because every model below reuses it."""
+    df = engineered(spark, d)
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    df = impute.constant_fill(df, cats).withColumn("Rural_Hospital", yes_no_code("Rural_Hospital"))
+    label_cols = [c for c in cats if c != "Rural_Hospital"]
+    df, _ = encode.label_encode(df, df, label_cols)
+    df, _ = impute.median_fill(df, df, nums)
+    feats = label_cols + ["Rural_Hospital"] + nums
+    df = split.kfold(df, KEY, 5, SEED).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    out = models.assemble(df.select(KEY, LOG, "fold", "is_valid", *feats), feats)
+    return out.persist(StorageLevel.MEMORY_AND_DISK), feats
+
+
+def _split(df):
+    return df.filter(~F.col("is_valid")), df.filter(F.col("is_valid"))
+
+
+def _score(model, valid, name: str) -> DataFrame:
+    pred = model.transform(valid).select(F.col(LOG).alias("y"), F.col("prediction").alias("pred"))
+    return metrics.metrics(pred, "y", "pred", mape=False).withColumn("model", F.lit(name))
+
+
+# ------------------------------------------------------------------ linear family
+
+
+def q_ols_one_feature(spark, d):
+    """L1 with one predictor: slope and intercept of the log target on the shipment value."""
+    df = models.assemble(engineered(spark, d).select(LOG, "Equipment_Value"), ["Equipment_Value"], invalid="skip")
+    m = models.fit_linear(df, LOG, models.LinearSpec("ols"))
+    return spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))], "slope double, intercept double")
+
+
+def q_linear_models(spark, d):
+    """L1, L2, L4, L5 (+L16, K3): validation scores and the 10 most positive / negative coefficients."""
+    df, feats = model_frame(spark, d)
+    scaled_stats = encode.fit_standard_scaler(df, feats)
+    df = encode.apply_standard_scaler(df, scaled_stats, feats)
+    df = models.assemble(df.drop("features"), feats)
+    train, valid = _split(df)
+    specs = {
+        "ols": models.LinearSpec("ols"),
+        "ridge": models.LinearSpec("ridge", 1.0),
+        "lasso": models.LinearSpec("lasso", 0.01),
+        "elastic_net": models.LinearSpec("enet", 0.01, 0.5),
+    }
+    parts = []
+    for name, spec in specs.items():
+        m = models.fit_linear(train, LOG, spec)
+        coef = models.importance_table(spark, m, feats)
+        top = coef.orderBy(F.col("value").desc(), "feature").limit(10).withColumn("side", F.lit("positive"))
+        bot = coef.orderBy(F.col("value").asc(), "feature").limit(10).withColumn("side", F.lit("negative"))
+        sc = _score(m, valid, name).first()
+        parts.append(top.unionByName(bot).withColumns(
+            {"model": F.lit(name), "valid_rmse": F.lit(sc["rmse"]), "valid_r2": F.lit(sc["r2"])}))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_ridge_gradient_descent(spark, d):
+    """L3: ridge by gradient descent (lr 0.01, 1000 steps, α 10) on standardised features; the
+    iteration runs on XᵀX/Xᵀy from one distributed pass per split. Returns the RMSE history."""
+    df, feats = model_frame(spark, d)
+    train, valid = _split(df)
+    st = encode.fit_standard_scaler(train, feats)
+    tr = encode.apply_standard_scaler(train, st, feats)
+    va = encode.apply_standard_scaler(valid, st, feats)
+    G, xy, yy, n = solve.gram(tr, feats, LOG)
+    Gv, xyv, yyv, nv = solve.gram(va, feats, LOG)
+    _, hist = solve.ridge_gradient_descent(G, xy, yy, n, lr=0.01, steps=1000, alpha=10.0, validation=(Gv, xyv, yyv, nv))
+    return spark.createDataFrame(hist, "step int, split string, rmse double")
+
+
+def q_holdout_sweep(spark, d):
+    """Ridge α sweep 0.1…1000 solved from one Gram pass on train; validation RMSE per α."""
+    df, feats = model_frame(spark, d)
+    train, valid = _split(df)
+    st = encode.fit_standard_scaler(train, feats)
+    tr = encode.apply_standard_scaler(train, st, feats)
+    va = encode.apply_standard_scaler(valid, st, feats)
+    G, xy, _, _ = solve.gram(tr, feats, LOG)
+    Gv, xyv, yyv, nv = solve.gram(va, feats, LOG)
+    rows = []
+    for a in (0.1, 1.0, 10.0, 100.0, 1000.0):
+        w = solve.ridge_from_gram(G, xy, a)
+        rows.append((a, float(np.sqrt(max(solve.rss_from_gram(Gv, xyv, yyv, w), 0.0) / nv))))
+    return spark.createDataFrame(rows, "alpha double, valid_rmse double")
+
+
+# ------------------------------------------------------------------ trees and boosting
+
+
+def q_decision_tree(spark, d):
+    """L6 + L16/K4: depth 10, min leaf 20; validation score and top-10 importances."""
+    df, feats = model_frame(spark, d)
+    train, valid = _split(df)
+    m = models.fit_tree(train, LOG, 10, 20)
+    imp = models.importance_table(spark, m, feats).orderBy(F.col("value").desc(), "feature").limit(10)
+    sc = _score(m, valid, "tree").first()
+    return imp.withColumns({"valid_rmse": F.lit(sc["rmse"]), "valid_r2": F.lit(sc["r2"])})
+
+
+def q_grid_search(spark, d):
+    """4×3 grid (depth 5/10/15/30, min leaf 10/20/50), 5-fold by the fold column, refit best."""
+    df, _ = model_frame(spark, d)
+    est = DecisionTreeRegressor(featuresCol="features", labelCol=LOG, maxBins=64, seed=SEED)
+    _, table = tune.grid_search(est, {"maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [10, 20, 50]}, df, LOG,
+                                "fold", parallelism=4)
+    return table
+
+
+def q_random_forest(spark, d):
+    """Forest (20 trees, depth 10, min leaf 2, 0.6985 of features per node); score + importances."""
+    df, feats = model_frame(spark, d)
+    train, valid = _split(df)
+    m = models.fit_forest(train, LOG, n_trees=20, max_depth=10, min_leaf=2, feature_fraction=0.6985)
+    imp = models.importance_table(spark, m, feats).orderBy(F.col("value").desc(), "feature").limit(20)
+    sc = _score(m, valid, "forest").first()
+    return imp.withColumns({"valid_rmse": F.lit(sc["rmse"]), "valid_r2": F.lit(sc["r2"])})
+
+
+def q_gradient_boosting(spark, d):
+    """Squared-loss boosting, lr 0.1, depth 6; L9 variant with row/column sampling and min child."""
+    df, _ = model_frame(spark, d)
+    train, valid = _split(df)
+    plain = models.fit_gbt(train, LOG, n_iter=20, lr=0.1, max_depth=6)
+    sampled = models.fit_gbt(train, LOG, n_iter=20, lr=0.1, max_depth=6, min_leaf=7, subsample=0.8,
+                             feature_fraction=0.8)
+    return _score(plain, valid, "gbt").unionByName(_score(sampled, valid, "gbt_sampled"))
+
+
+def q_boosting_early_stop(spark, d):
+    """Learning curve on train/validation, best round count by arg-min with
+    patience, refit on all rows with that many rounds; returns the curve and the chosen count."""
+    df, _ = model_frame(spark, d)
+    train, valid = _split(df)
+    m = models.fit_gbt(train, LOG, n_iter=30, lr=0.1, max_depth=6, min_leaf=20, subsample=0.8, feature_fraction=0.8)
+    curve = models.learning_curve(m, {"train": train, "validation": valid}, LOG)
+    best = models.best_rounds(curve, "validation", patience=10)
+    refit = models.fit_gbt(df, LOG, n_iter=best, lr=0.1, max_depth=6, min_leaf=20, subsample=0.8,
+                           feature_fraction=0.8)
+    out = spark.createDataFrame(curve, "iteration int, split string, rmse double")
+    return out.withColumns({"best_rounds": F.lit(best), "refit_trees": F.lit(len(refit.trees))})
+
+
+def q_ordered_stats_boosting(spark, d):
+    """Categorical columns as ordered target statistics (E8, no leakage of a row's own target)
+    feeding squared-loss boosting with Spark's validation-based early stop (L13)."""
+    df = engineered(spark, d)
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    df = impute.constant_fill(df, cats)
+    for c in cats:
+        df = encode.ordered_target_stat(df, c, LOG, KEY, seed=SEED, out=f"{c}_ots").drop(f"{c}_ots_n", f"{c}_ots_sum")
+    df, _ = impute.median_fill(df, df, nums)
+    feats = [f"{c}_ots" for c in cats] + nums
+    df = df.withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    X = models.assemble(df.select(KEY, LOG, "is_valid", *feats), feats)
+    m = models.fit_gbt(X, LOG, n_iter=30, lr=0.1, max_depth=6, validation_col="is_valid")
+    return _score(m, X.filter("is_valid"), "ordered_stats_gbt").withColumn("trees", F.lit(len(m.trees)))
+
+
+# ------------------------------------------------------------------ KNN with scaling + PCA
+
+
+def q_knn_scaled_pca(spark, d):
+    """E3 + E9 + E10 + L12: one-hot, population-std scaling, PCA to 95 % variance, 10-NN with
+    1/distance weights; validation metrics on the log target."""
+    df = engineered(spark, d)
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    df = impute.constant_fill(df, cats)
+    df, _ = impute.median_fill(df, df, nums)
+    df = df.withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    train = df.filter(~F.col("is_valid"))
+    small = ["Transport_Method", "Hospital_Info", "Installation_Service", "Urgent_Shipping"]
+    ohe = encode.fit_one_hot(train, small)
+    df = ohe.transform(df)
+    st = encode.fit_standard_scaler(df.filter(~F.col("is_valid")), nums)
+    df = encode.apply_standard_scaler(df, st, nums)
+    df = models.assemble(df, nums + [f"{c}_ohe" for c in small], out="x")
+    arr = df.select(KEY, LOG, "is_valid", vector_to_array("x").alias("x"))
+    width = arr.agg(F.max(F.size("x")).alias("w")).first()["w"]
+    flat = arr.select(KEY, LOG, "is_valid", *[F.col("x")[i].alias(f"x{i}") for i in range(width)])
+    k, _, pca, assembled = encode.pca_variance(flat, [f"x{i}" for i in range(width)])
+    proj = pca.transform(assembled).select(F.col(KEY).alias("key"), vector_to_array("pca").alias("vec"),
+                                           F.col(LOG).alias("y"), "is_valid")
+    tr = proj.filter(~F.col("is_valid")).drop("is_valid")
+    va = proj.filter(F.col("is_valid"))
+    pred = knn.knn_regress(tr, va.select("key", "vec"), k=10)
+    scored = pred.join(va.select("key", "y"), "key")
+    return metrics.metrics(scored, "y", "pred", mape=False).withColumn("pca_components", F.lit(k))
+
+
+def q_pca_variance(spark, d):
+    """Explained and cumulative variance per component of the centred numeric features."""
+    df = engineered(spark, d)
+    _, nums = columns_by_type(df, exclude=RESERVED)
+    df, _ = impute.median_fill(df, df, nums)
+    k, table, _, _ = encode.pca_variance(df, nums)
+    return table.withColumn("k_95", F.lit(k))
+
+
+def q_dtype_dispatch(spark, d):
+    """Numeric branch (median) + categorical branch (index, one-hot) + linear model, one Pipeline."""
+    df = engineered(spark, d).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    from pyspark.ml.regression import LinearRegression
+
+    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, regParam=0.0, solver="normal"))
+    m = pipe.fit(df.filter(~F.col("is_valid")))
+    return _score(m, df.filter(F.col("is_valid")), "dtype_dispatch_ols")
+
+
+# ------------------------------------------------------------------ tuning
+
+
+def q_random_search(spark, d):
+    """Seeded random search over forest size/depth/leaf and target-encoding smoothing; each
+    trial scored by mean per-fold RMSE with in-fold (leak-free) encoding; best refit on all rows."""
+    df = engineered(spark, d)
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    df = impute.constant_fill(df, cats)
+    df, _ = impute.median_fill(df, df, nums)
+    df = split.kfold(df, KEY, 5, SEED).persist(StorageLevel.MEMORY_AND_DISK)
+    space = {"n_trees": ("int", 5, 15), "max_depth": ("int", 3, 8), "min_leaf": ("int", 1, 10),
+             "smoothing": ("float", 0.5, 10.0)}
+    trials = [r.asDict() for r in tune.sample_trials(spark, space, 6, SEED).collect()]
+    enc_cols = ["Transport_Method", "Hospital_Info", "Equipment_Type"]
+
+    def score(t):
+        enc = encode.target_encode_oof(df, enc_cols, LOG, "fold", smoothing=t["smoothing"], suffix="_te")
+        feats = [f"{c}_te" for c in enc_cols] + nums
+        X = models.assemble(enc.select(KEY, LOG, "fold", *feats), feats)
+        parts = []
+        for f in range(5):
+            m = models.fit_forest(X.filter(F.col("fold") != f), LOG, n_trees=int(t["n_trees"]),
+                                  max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
+            parts.append(m.transform(X.filter(F.col("fold") == f)).select("fold", LOG, "prediction"))
+        allp = parts[0]
+        for p in parts[1:]:
+            allp = allp.unionByName(p)
+        return metrics.fold_mean(allp, LOG, "prediction", "fold").first()["mean_fold_rmse"]
+
+    results = tune.run_trials(trials, score, parallelism=3)
+    rows = [(int(t["trial"]), t["n_trees"], t["max_depth"], t["min_leaf"], t["smoothing"], float(s)) for t, s in results]
+    return spark.createDataFrame(
+        rows, "trial int, n_trees double, max_depth double, min_leaf double, smoothing double, mean_fold_rmse double"
+    )
+
+
+def q_successive_halving(spark, d):
+    """T4: prune trials early — all trials on fold 0 with few trees, the best third go on with more."""
+    df, _ = model_frame(spark, d)
+    space = {"max_depth": ("int", 3, 10), "min_leaf": ("int", 1, 30)}
+    trials = [r.asDict() for r in tune.sample_trials(spark, space, 9, SEED).collect()]
+    train, valid = df.filter(F.col("fold") != 0), df.filter(F.col("fold") == 0)
+
+    def score_at(t, budget):
+        m = models.fit_forest(train, LOG, n_trees=int(budget), max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
+        return _score(m, valid, "f").first()["rmse"]
+
+    rows = tune.successive_halving(trials, score_at, budgets=[3, 9, 27], eta=3, parallelism=3)
+    return spark.createDataFrame(rows, "rung int, trial int, budget double, rmse double")
+
+
+# ------------------------------------------------------------------ OOF / hold-out matrices and stacking
+
+
+def _fitters():
+    return {
+        "ridge": lambda tr: models.fit_linear(tr, LOG, models.LinearSpec("ridge", 100.0)),
+        "tree": lambda tr: models.fit_tree(tr, LOG, 8, 20),
+        "gbt": lambda tr: models.fit_gbt(tr, LOG, n_iter=10, lr=0.1, max_depth=5),
+    }
+
+
+def ml_oof(spark, d) -> DataFrame:
+    df, _ = model_frame(spark, d)
+    return ensemble.oof_predictions(df, KEY, "fold", _fitters(), 5, label=LOG)
+
+
+def q_oof_model_scores(spark, d):
+    """B1 + A12 + A16: 5-fold OOF predictions of three trained models; pooled and mean-fold RMSE."""
+    p = ml_oof(spark, d)
+    pooled = metrics.model_scores(p)
+    per_fold = metrics.fold_mean(p, "y", "pred", "fold", by=["model"])
+    return pooled.join(per_fold, "model")
+
+
+def q_holdout_matrix(spark, d):
+    """B2 + J1: hold-out predictions of the three models aligned per key."""
+    df, _ = model_frame(spark, d)
+    train, valid = _split(df)
+    p = ensemble.holdout_predictions(train, valid, KEY, _fitters(), label=LOG)
+    return align(p, KEY, models=["gbt", "ridge", "tree"]).join(p.groupBy(KEY).agg(F.first("y").alias("y")), KEY)
+
+
+def q_stacking_trained(spark, d):
+    """Non-negative ridge stacking of the trained models' OOF predictions."""
+    return ensemble.stack_nonneg(ml_oof(spark, d), KEY, ["gbt", "ridge", "tree"])
+
+
+def q_weight_search_trained(spark, d):
+    """3000 random weight vectors over the trained models' OOF predictions; best trial."""
+    _, best = ensemble.weight_search(ml_oof(spark, d), KEY, ["gbt", "ridge", "tree"], n_trials=3000, seed=SEED)
+    return best
+
+
+# ------------------------------------------------------------------ stores and full preprocessing
+
+
+def q_model_store(spark, d):
+    """Fitted pipeline saved, reloaded, and scored again — identical predictions."""
+    df = engineered(spark, d).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    from pyspark.ml.regression import LinearRegression
+
+    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, regParam=0.0, solver="normal"))
+    m = pipe.fit(df.filter(~F.col("is_valid")))
+    path = scratch_path(spark, "model")
+    models.save_model(m, path)
+    again = models.load_pipeline(path)
+    va = df.filter(F.col("is_valid"))
+    a = m.transform(va).select(KEY, F.col("prediction").alias("pred_before"))
+    b = again.transform(va).select(KEY, F.col("prediction").alias("pred_after"))
+    return a.join(b, KEY)
+
+
+def q_tuning_sink(spark, d):
+    """The grid-search trial table written as JSON lines with model and time stamp, read back."""
+    table = q_grid_search(spark, d)
+    path = scratch_path(spark, "tuning")
+    sinks.write_tuning(table, path, "decision_tree")
+    return spark.read.json(path).drop("timestamp")
+
+
+def q_preprocess_reference(spark, d):
+    """The reference's nine preprocessing steps (union-fitted dictionary, chained-equation imputation)."""
+    p = preprocess(labelled(spark, d), unlabelled(spark, d), KEY, TARGET, fit_on="union", impute=True)
+    return p.train
+
+
+def q_write_submission(spark, d):
+    """S3 end to end: fit on labelled rows, predict unlabelled rows, invert the log target, clamp at 0."""
+    p = preprocess(labelled(spark, d), unlabelled(spark, d), KEY, TARGET, fit_on="union", impute=False)
+    feats = p.categorical + p.numeric
+    tr = p.train
+    te = p.test
+    tr, _ = impute.median_fill(tr, tr, p.numeric)
+    te, _ = impute.median_fill(p.train, te, p.numeric)
+    Xtr = models.assemble(tr, feats)
+    m = models.fit_gbt(Xtr, LOG, n_iter=20, lr=0.1, max_depth=5)
+    shift = p.shift
+    pred = m.transform(models.assemble(te, feats)).crossJoin(F.broadcast(shift))
+    from tabcast.functions.mathx import clamp_min, inverse_target
+
+    out = pred.select(KEY, clamp_min(inverse_target("prediction", F.col("Target_Shift_Value")), 0.0).alias(TARGET))
+    path = scratch_path(spark, "submission")
+    sinks.write_predictions(out, KEY, TARGET, path)
+    return sinks.read_predictions(spark, path, KEY, TARGET)
+
