@@ -18,13 +18,10 @@ from tabcast.operators.split import key_hash
 # ---------------------------------------------------------------- label encoding
 
 
-def _long_values(df: DataFrame, cols) -> DataFrame:
-    """(column, value) for every cell of ``cols`` (values as text)."""
-    parts = [df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _long_values(df: DataFrame, cols, ids=(), value_type: str = "string") -> DataFrame:
+    """(ids…, column, value) for every cell of ``cols``: one scan (Expand), not one per column."""
+    wide = df.select(*ids, *[F.col(c).cast(value_type).alias(c) for c in cols])
+    return wide.unpivot(list(ids), list(cols), "column", "value")
 
 
 def fit_label_dictionary(df: DataFrame, cols) -> DataFrame:
@@ -110,17 +107,13 @@ def fit_target_encoding(
     shuffle, so skew costs one row per partition, not a third of the table in one task.
     """
     prior = df.agg(F.avg(target).alias("prior"))
-    parts = []
-    for c in cols:
-        parts.append(
-            df.groupBy(F.col(c).cast("string").alias("value"))
-            .agg(F.count(target).alias("n"), F.avg(target).alias("mean"))
-            .withColumn("column", F.lit(c))
-        )
-    stats = parts[0]
-    for p in parts[1:]:
-        stats = stats.unionByName(p)
-    stats = stats.filter(F.col("value").isNotNull()).crossJoin(one_row_broadcast(prior))
+    stats = (
+        _long_values(df.withColumn("__y", F.col(target)), cols, ids=("__y",))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count("__y").alias("n"), F.avg("__y").alias("mean"))
+    )
+    stats = stats.crossJoin(one_row_broadcast(prior))
     enc = stats.withColumn("encoded", _blend(F.col("n"), F.col("mean"), F.col("prior"), min_leaf, smoothing, mode))
     return enc.select("column", "value", "n", "mean", "encoded"), prior
 
@@ -172,18 +165,21 @@ def target_encode_oof(
         ((F.col("__S") - F.col("__sf")) / (F.col("__N") - F.col("__nf"))).alias("__prior_c"),
     )
     out = base.join(F.broadcast(priors), fold)  # k rows
+    # one scan + one partial aggregate for every column: (column, value, fold) → n, sum
+    per = (
+        _long_values(base.withColumn("__yc", y), cols, ids=("__yc", fold))
+        .groupBy("column", "value", fold)
+        .agg(F.count("__yc").alias("__n"), F.sum("__yc").alias("__s"))
+    )
+    tot = per.groupBy("column", "value").agg(F.sum("__n").alias("__nt"), F.sum("__s").alias("__st"))
+    rest = per.join(tot, ["column", "value"]).select(
+        "column", "value", F.col(fold).alias("__f"),
+        (F.col("__nt") - F.col("__n")).alias("__nr"), (F.col("__st") - F.col("__s")).alias("__sr"),
+    )
+    rest = bounded_broadcast(rest)
     for c in cols:
-        v = F.col(c).cast("string")
-        per = base.groupBy(v.alias("__v"), F.col(fold)).agg(F.count(target).alias("__n"), F.sum(y).alias("__s"))
-        tot = per.groupBy("__v").agg(F.sum("__n").alias("__nt"), F.sum("__s").alias("__st"))
-        rest = per.join(tot, "__v").select(
-            "__v",
-            F.col(fold).alias("__f"),
-            (F.col("__nt") - F.col("__n")).alias("__nr"),
-            (F.col("__st") - F.col("__s")).alias("__sr"),
-        )
-        rest = bounded_broadcast(rest)
-        out = out.join(rest, (out[c].cast("string") == rest["__v"]) & (out[fold] == rest["__f"]), "left")
+        r = rest.filter(F.col("column") == F.lit(c)).drop("column").withColumnRenamed("value", "__v")
+        out = out.join(r, (out[c].cast("string") == r["__v"]) & (out[fold] == r["__f"]), "left")
         nr = F.col("__nr")
         mean_c = F.col("__sr") / nr
         enc_c = F.when(nr > 0, _blend(nr, mean_c, F.col("__prior_c"), min_leaf, smoothing, mode)).otherwise(

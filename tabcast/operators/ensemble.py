@@ -23,30 +23,35 @@ def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str,
 
     * ``mean``      — mean target of the other folds;
     * ``group_mean``— mean target of the row's category in the other folds (else ``mean``);
-    * ``line``      — least-squares line on ``x`` fitted on the other folds.
+    * ``line``      — least-squares line on ``x`` fitted on the other folds' rows that have ``x``
+                      (rows without ``x`` get ``mean``).
 
     Returns ``(key, fold, model, pred, y)``; no fold ever sees its own targets.
     """
     y = F.col(target).cast("double")
     xv = F.col(x).cast("double")
+    has_x = xv.isNotNull() & y.isNotNull()
     fstats = df.groupBy(fold).agg(
         F.count(y).alias("nf"),
         F.sum(y).alias("sy"),
-        F.sum(xv).alias("sx"),
+        F.count(F.when(has_x, 1)).alias("nx"),
+        F.sum(F.when(has_x, y)).alias("syx"),
+        F.sum(F.when(has_x, xv)).alias("sx"),
         F.sum(xv * y).alias("sxy"),
-        F.sum(xv * xv).alias("sxx"),
+        F.sum(F.when(has_x, xv * xv)).alias("sxx"),
     )
-    tot = fstats.agg(*[F.sum(c).alias(f"t_{c}") for c in ("nf", "sy", "sx", "sxy", "sxx")])
+    names = ("nf", "sy", "nx", "syx", "sx", "sxy", "sxx")
+    tot = fstats.agg(*[F.sum(c).alias(f"t_{c}") for c in names])
     rest = fstats.crossJoin(one_row_broadcast(tot)).select(
-        fold, *[(F.col(f"t_{c}") - F.col(c)).alias(f"r_{c}") for c in ("nf", "sy", "sx", "sxy", "sxx")]
+        fold, *[(F.col(f"t_{c}") - F.col(c)).alias(f"r_{c}") for c in names]
     )
-    n, sy, sx, sxy, sxx = (F.col(f"r_{c}") for c in ("nf", "sy", "sx", "sxy", "sxx"))
-    slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
+    n, sy, nx, syx, sx, sxy, sxx = (F.col(f"r_{c}") for c in names)
+    slope = (nx * sxy - sx * syx) / (nx * sxx - sx * sx)
     per_fold = rest.select(
         fold,
         (sy / n).alias("__mean"),
         slope.alias("__slope"),
-        ((sy - slope * sx) / n).alias("__icpt"),
+        ((syx - slope * sx) / nx).alias("__icpt"),
     )
     cat = F.col(category).cast("string")
     cstats = df.groupBy(cat.alias("__v"), F.col(fold)).agg(F.count(y).alias("__n"), F.sum(y).alias("__s"))
@@ -60,7 +65,7 @@ def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str,
         crest, (F.col("__cat") == F.col("__v")) & (F.col(fold) == F.col("__f")), "left"
     )
     group_mean = F.when(F.col("__nr") > 0, F.col("__sr") / F.col("__nr")).otherwise(F.col("__mean"))
-    line = F.col("__icpt") + F.col("__slope") * F.col("__x")
+    line = F.coalesce(F.col("__icpt") + F.col("__slope") * F.col("__x"), F.col("__mean"))
     wide = rows.select(key, fold, "y", F.col("__mean").alias("mean"), group_mean.alias("group_mean"),
                        line.alias("line"))
     return wide.selectExpr(

@@ -33,7 +33,7 @@ def _rank_positions(n: int, q: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n - 1), pos - lo
 
 
-def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000, max_band: int = 200_000) -> dict:
+def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000, max_band: int = 100_000) -> dict:
     """Exact q-quantile (linear interpolation, = DuckDB quantile_cont / pandas) per column.
 
     All columns are resolved together: one pass for counts and sketch brackets, one pass for
@@ -65,7 +65,7 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
                          F.count(F.when((F.col(c) >= lo) & (F.col(c) <= hi), 1)).alias(f"{c}__inside")]
             stat = base.agg(*aggs).first()
         resolved, fallback = {}, []
-        parts = []
+        conds = []
         for c in need:
             lo_r, hi_r, _ = need[c]
             if c in brackets:
@@ -78,13 +78,14 @@ def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000,
             else:
                 below, cond = 0, F.col(c).isNotNull()
             resolved[c] = below
-            parts.append(base.filter(cond).select(F.lit(c).alias("column"), F.col(c).alias("value")))
+            conds.append((c, cond))
         values: dict[str, list] = {c: [] for c in resolved}
-        if parts:
-            union = parts[0]
-            for p in parts[1:]:
-                union = union.unionByName(p)
-            for r in union.toLocalIterator():
+        if conds:
+            # one scan: each row contributes the columns whose value lies in that column's bracket
+            picked = F.array(*[F.when(cond, F.struct(F.lit(c).alias("column"), F.col(c).alias("value")))
+                               for c, cond in conds])
+            band = base.select(F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("p"))
+            for r in band.select("p.column", "p.value").collect():  # ≤ max_band values per column
                 values[r[0]].append(r[1])
         result = {c: None for c in cols}
         for c, below in resolved.items():
@@ -150,10 +151,7 @@ def most_frequent(fit_df: DataFrame, cols, numeric: bool = False) -> DataFrame:
     one task; the arg-max is another aggregate over one row per distinct value.
     """
     vt = "double" if numeric else "string"
-    parts = [fit_df.select(F.lit(c).alias("column"), F.col(c).cast(vt).alias("value")) for c in cols]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    long = fit_df.select(*[F.col(c).cast(vt).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy("column").agg(F.min_by(F.struct((-F.col("n")).alias("neg_n"), "value"),
                                                   F.struct((-F.col("n")).alias("neg_n"), "value")).alias("b"))

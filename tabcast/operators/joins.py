@@ -14,9 +14,21 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def materialise(small: DataFrame) -> DataFrame:
+    """Write fitted state to the shared checkpoint folder and return it with a one-node lineage.
+
+    Fitted tables are derived from the very rows they are joined back into; without this cut
+    every join would carry (and Catalyst would re-analyse) a full copy of the upstream plan.
+    """
+    from tabcast.session import cut_lineage
+
+    return cut_lineage(small)
+
+
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the (cached) side has at most ``max_rows`` rows."""
-    small = small.cache()
+    """Materialise fitted state, then broadcast it only when it has at most ``max_rows`` rows;
+    above that the join stays a shuffle join."""
+    small = materialise(small)
     return F.broadcast(small) if small.count() <= max_rows else small
 
 

@@ -125,13 +125,18 @@ folds AS (SELECT eng.*, CAST({H('o_orderkey')} % 5 AS INTEGER) AS fold FROM eng)
 
 # closed-form OOF predictions: mean, group_mean (Transport_Method), line (Equipment_Value)
 BASE_PREDS = FOLDS + """,
-fst AS (SELECT fold, count(Transport_Cost_Log) AS nf, sum(Transport_Cost_Log) AS sy, sum(Equipment_Value) AS sx,
-               sum(Equipment_Value * Transport_Cost_Log) AS sxy, sum(Equipment_Value * Equipment_Value) AS sxx
+fst AS (SELECT fold, count(Transport_Cost_Log) AS nf, sum(Transport_Cost_Log) AS sy,
+               count(Equipment_Value * Transport_Cost_Log) AS nx,
+               sum(CASE WHEN Equipment_Value IS NOT NULL THEN Transport_Cost_Log END) AS syx,
+               sum(CASE WHEN Transport_Cost_Log IS NOT NULL THEN Equipment_Value END) AS sx,
+               sum(Equipment_Value * Transport_Cost_Log) AS sxy,
+               sum(CASE WHEN Transport_Cost_Log IS NOT NULL THEN Equipment_Value * Equipment_Value END) AS sxx
         FROM folds GROUP BY fold),
-rst AS (SELECT fold, sum(nf) OVER () - nf AS n, sum(sy) OVER () - sy AS sy, sum(sx) OVER () - sx AS sx,
+rst AS (SELECT fold, sum(nf) OVER () - nf AS n, sum(sy) OVER () - sy AS sy, sum(nx) OVER () - nx AS nx,
+               sum(syx) OVER () - syx AS syx, sum(sx) OVER () - sx AS sx,
                sum(sxy) OVER () - sxy AS sxy, sum(sxx) OVER () - sxx AS sxx FROM fst),
-pf AS (SELECT fold, sy / n AS m, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope FROM rst),
-pf2 AS (SELECT pf.fold, pf.m, pf.slope, (rst.sy - pf.slope * rst.sx) / rst.n AS icpt FROM pf JOIN rst USING (fold)),
+pf AS (SELECT fold, sy / n AS m, (nx * sxy - sx * syx) / (nx * sxx - sx * sx) AS slope FROM rst),
+pf2 AS (SELECT pf.fold, pf.m, pf.slope, (rst.syx - pf.slope * rst.sx) / rst.nx AS icpt FROM pf JOIN rst USING (fold)),
 cst AS (SELECT Transport_Method AS v, fold, count(Transport_Cost_Log) AS n, sum(Transport_Cost_Log) AS s
         FROM folds GROUP BY 1, 2),
 ctt AS (SELECT v, sum(n) AS nt, sum(s) AS st FROM cst GROUP BY v),
@@ -139,7 +144,7 @@ cre AS (SELECT cst.v, cst.fold, nt - n AS nr, st - s AS sr FROM cst JOIN ctt USI
 wide AS (
   SELECT f.o_orderkey, f.fold, f.Transport_Cost_Log AS y, pf2.m AS mean,
          CASE WHEN cre.nr > 0 THEN cre.sr / cre.nr ELSE pf2.m END AS group_mean,
-         pf2.icpt + pf2.slope * f.Equipment_Value AS line
+         coalesce(pf2.icpt + pf2.slope * f.Equipment_Value, pf2.m) AS line
   FROM folds f JOIN pf2 USING (fold) LEFT JOIN cre ON f.Transport_Method = cre.v AND f.fold = cre.fold
 ),
 preds AS (
