@@ -6,6 +6,8 @@ rows; nothing is collected to the driver except one-row aggregates.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabcast.operators.joins import bounded_broadcast, one_row_broadcast
-from tabcast.operators.split import key_hash
+from tabcast.operators.split import rank_within
 
 # ---------------------------------------------------------------- label encoding
 
@@ -27,12 +29,12 @@ def _long_values(df: DataFrame, cols, ids=(), value_type: str = "string") -> Dat
 def fit_label_dictionary(df: DataFrame, cols) -> DataFrame:
     """Per column, sorted distinct values → codes 0..n−1 (``column, value, code``).
 
-    Distinct runs as a partial (map-side) aggregate; the ranking window sees one row per
-    distinct value, so its size is bounded by cardinality, not by row count.
+    Distinct runs as a partial (map-side) aggregate; codes come from a range-partitioned rank,
+    so even a column with billions of distinct values is never ranked inside one task.
     """
     distinct = _long_values(df, cols).filter(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return distinct.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    ranked = rank_within(distinct, "column", "value", col="code")
+    return ranked.withColumn("code", F.col("code").cast("int"))
 
 
 def apply_label_dictionary(df: DataFrame, dictionary: DataFrame, cols, unseen: int | None = None) -> DataFrame:
@@ -196,7 +198,7 @@ def ordered_target_stat(
     key: str,
     seed: int = 42,
     prior_weight: float = 1.0,
-    bucket_digits: int = 2,
+    bucket_digits: int | None = None,
     decimal_scale: int | None = None,
     out: str | None = None,
 ) -> DataFrame:
@@ -204,11 +206,15 @@ def ordered_target_stat(
     random order (md5 of key ‖ seed), smoothed by ``prior_weight`` pseudo-rows at the prior.
 
     Skew-safe two-level prefix sum: rows go to 16^bucket_digits buckets by the leading hex
-    digits of the same hash that orders them, so bucket order agrees with row order. The
+    digits of the same hash that orders them, so bucket order agrees with row order. By default
+    the digit count grows with the row count so that a window partition stays near 1M rows. The
     window over rows is partitioned by (category, bucket) — a hot category is spread over
     all buckets — and bucket totals are prefix-summed in a table of categories × buckets rows.
     """
     out = out or f"{col}_ots"
+    if bucket_digits is None:  # ~≤ 1M rows per (category, bucket) even if one category holds every row
+        n = df.count()
+        bucket_digits = max(2, math.ceil(math.log(max(n, 1) / 1_000_000, 16))) if n > 0 else 2
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
     yv = F.col(target).cast(f"decimal(28,{decimal_scale})") if decimal_scale is not None else F.col(target)
     base = df.withColumns({"__h": h, "__y": yv}).withColumn("__b", F.substring("__h", 1, bucket_digits))

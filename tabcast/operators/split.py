@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabcast.session import cut_lineage
+
 
 def key_hash(key: str | Column, seed: int = 42) -> Column:
     """32-bit unsigned integer from the first 8 hex digits of md5(key ‖ seed)."""
@@ -47,7 +49,10 @@ def global_rank(df: DataFrame, key: str, partitions: int | None = None, col: str
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n_parts, key).withColumn("__pid", F.spark_partition_id())
-    local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__pid").orderBy(key)) - 1)
+    # written once: the counts and the join below must see the same range boundaries
+    local = cut_lineage(
+        ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__pid").orderBy(key)) - 1)
+    )
     counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__offset",
@@ -57,6 +62,24 @@ def global_rank(df: DataFrame, key: str, partitions: int | None = None, col: str
     return out.drop("__pid", "__local", "__offset")
 
 
+def rank_within(df: DataFrame, group: str, order: str, partitions: int | None = None, col: str = "rank") -> DataFrame:
+    """0-based position of each row within its ``group`` by ``order`` (rows assumed distinct),
+    without a window that holds a whole group in one task: range-partition on (group, order),
+    number rows inside each partition, add the counts of the same group in earlier partitions
+    (a table of partitions × groups rows)."""
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n_parts, group, order).withColumn("__pid", F.spark_partition_id())
+    local = cut_lineage(  # written once: counts and join must see the same range boundaries
+        ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__pid", group).orderBy(order)) - 1)
+    )
+    counts = local.groupBy("__pid", group).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", group, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    out = local.join(F.broadcast(offsets), ["__pid", group]).withColumn(col, F.col("__local") + F.col("__off"))
+    return out.drop("__pid", "__local", "__off")
+
+
 def kfold_contiguous(df: DataFrame, key: str, k: int = 5, col: str = "fold") -> DataFrame:
     """Unshuffled K-fold in key order; the first n mod k folds hold one extra row (as ntile)."""
     ranked = global_rank(df, key)

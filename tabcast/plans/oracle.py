@@ -511,4 +511,13 @@ FROM k GROUP BY qkey"""
     q["dictionary_sink"] = q["label_dictionary"]
     q["prediction_store"] = bp + "\nSELECT o_orderkey, pred AS pred_log, model FROM preds WHERE model = 'line'"
     q["weights_store"] = q["normalise_weights"]
+    train_cols = ",".join(ALL_RAW)
+    test_cols = ",".join(c for c in ALL_RAW if c != "Transport_Cost")
+    q["run_metadata"] = _w(RAW) + f"""
+SELECT 'train_shape' AS item, '(' || CAST((SELECT count(*) FROM lab) AS VARCHAR) || ', 20)' AS value
+UNION ALL SELECT 'test_shape', '(' || CAST((SELECT count(*) FROM unlab) AS VARCHAR) || ', 19)'
+UNION ALL SELECT 'train_columns', '{train_cols}'
+UNION ALL SELECT 'test_columns', '{test_cols}'
+UNION ALL SELECT 'target_shift_value', CAST((SELECT Target_Shift_Value FROM shift) AS VARCHAR)
+UNION ALL SELECT 'features_engineered', 'Location_State,Location_Zip,Location_Is_Military,Equipment_Area'"""
     return q

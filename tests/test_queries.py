@@ -60,8 +60,11 @@ def _same(sdf, ddf):
     cols = sorted(sdf.columns)
     assert cols == sorted(ddf.columns)
     assert len(sdf) == len(ddf)
-    a = sorted(tuple(_norm(v) for v in r) for r in sdf[cols].itertuples(index=False, name=None))
-    b = sorted(tuple(_norm(v) for v in r) for r in ddf[cols].itertuples(index=False, name=None))
+    def key(row):
+        return tuple((t, float(f"{v:.9g}")) if t == 1 else (t, v) for t, v in row)
+
+    a = sorted((tuple(_norm(v) for v in r) for r in sdf[cols].itertuples(index=False, name=None)), key=key)
+    b = sorted((tuple(_norm(v) for v in r) for r in ddf[cols].itertuples(index=False, name=None)), key=key)
     for x, y in zip(a, b):
         for u, w in zip(x, y):
             if u[0] == 1 and w[0] == 1:
