@@ -242,6 +242,49 @@ def ordered_target_stat(
     ).drop("__h", "__y", "__b", "__pn", "__ps", "__in_n", "__in_s", "__prior")
 
 
+def ordered_target_stats(
+    df: DataFrame,
+    cols,
+    target: str,
+    key: str,
+    seed: int = 42,
+    prior_weight: float = 1.0,
+    bucket_digits: int | None = None,
+    suffix: str = "_ots",
+) -> DataFrame:
+    """E8 for many columns in one pass: unpivot to (key, column, value, y), the same two-level
+    prefix sums partitioned by (column, value, bucket), pivot back with one shuffle on the key.
+    A row whose category is NULL gets the statistic of the NULL group, as in the one-column form."""
+    cols = list(cols)
+    if bucket_digits is None:
+        n = df.count()
+        bucket_digits = max(2, math.ceil(math.log(max(n, 1) / 1_000_000, 16))) if n > 0 else 2
+    prior = df.agg(F.avg(target).alias("__prior"))
+    long = _long_values(df.withColumn("__y", F.col(target).cast("double")), cols, ids=(key, "__y"))
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
+    long = long.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, bucket_digits))
+    grp = ["column", "value"]
+    buckets = long.groupBy(*grp, "__b").agg(F.count("__y").alias("__bn"), F.sum("__y").alias("__bs"))
+    before = Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = buckets.select(
+        F.col("column").alias("__pc"), F.col("value").alias("__pv"), F.col("__b").alias("__pb"),
+        F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__pn"), F.sum("__bs").over(before).alias("__ps"),
+    )
+    win = Window.partitionBy(*grp, "__b").orderBy("__h", key).rowsBetween(Window.unboundedPreceding, -1)
+    rows = long.withColumns(
+        {"__in_n": F.coalesce(F.count("__y").over(win), F.lit(0)), "__in_s": F.sum("__y").over(win)}
+    )
+    bp = bounded_broadcast(prefix)
+    cond = (rows["column"] == bp["__pc"]) & rows["value"].eqNullSafe(bp["__pv"]) & (rows["__b"] == bp["__pb"])
+    joined = rows.join(bp, cond, "left").crossJoin(one_row_broadcast(prior))
+    n_before = F.coalesce(F.col("__pn"), F.lit(0)) + F.col("__in_n")
+    s_before = F.coalesce(F.col("__ps"), F.lit(0.0)) + F.coalesce(F.col("__in_s"), F.lit(0.0))
+    stat = (s_before + F.lit(prior_weight) * F.col("__prior")) / (n_before + F.lit(prior_weight))
+    wide = joined.select(key, "column", stat.alias("__ots")).groupBy(key).pivot("column", cols).agg(F.first("__ots"))
+    wide = wide.select(key, *[F.col(c).alias(f"{c}{suffix}") for c in cols])
+    return df.join(wide, key)
+
+
 # ---------------------------------------------------------------- scaling / projection
 
 

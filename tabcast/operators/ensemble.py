@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabcast.functions.mathx import clamp_min
-from tabcast.operators.joins import align, one_row_broadcast
+from tabcast.operators.joins import align, bounded_broadcast, one_row_broadcast
 from tabcast.operators.solve import gram, nonneg_ridge
 
 # ---------------------------------------------------------------- deterministic OOF predictors
@@ -61,6 +61,7 @@ def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str,
         (F.col("__st") - F.col("__s")).alias("__sr"),
     )
     base = df.select(F.col(key), F.col(fold), cat.alias("__cat"), xv.alias("__x"), y.alias("y"))
+    crest = bounded_broadcast(crest)  # categories × folds rows; a hot category never meets a shuffle join
     rows = base.join(F.broadcast(per_fold), fold).join(
         crest, (F.col("__cat") == F.col("__v")) & (F.col(fold) == F.col("__f")), "left"
     )

@@ -179,8 +179,7 @@ def q_ordered_stats_boosting(spark, d):
     df = engineered(spark, d)
     cats, nums = columns_by_type(df, exclude=RESERVED)
     df = impute.constant_fill(df, cats)
-    for c in cats:
-        df = encode.ordered_target_stat(df, c, LOG, KEY, seed=SEED, out=f"{c}_ots").drop(f"{c}_ots_n", f"{c}_ots_sum")
+    df = encode.ordered_target_stats(df, cats, LOG, KEY, seed=SEED)
     df, _ = impute.median_fill(df, df, nums)
     feats = [f"{c}_ots" for c in cats] + nums
     df = df.withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))

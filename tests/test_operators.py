@@ -99,6 +99,14 @@ def test_ordered_target_stat_bruteforce(frame):
     assert np.allclose(m.ots, m.exp, rtol=1e-9)
 
 
+def test_multi_column_ots_equals_single(frame):
+    two = frame.withColumn("cat2", F.when(F.col("k") % 3 == 0, F.lit(None)).otherwise(F.col("cat")))
+    many = encode.ordered_target_stats(two, ["cat", "cat2"], "y", "k", bucket_digits=1).toPandas().set_index("k")
+    for c in ("cat", "cat2"):
+        one = encode.ordered_target_stat(two, c, "y", "k", bucket_digits=2, out="o").toPandas().set_index("k")
+        assert np.allclose(many[f"{c}_ots"].sort_index(), one["o"].sort_index(), rtol=1e-12)
+
+
 def test_exact_quantiles_sketch_path(spark):
     rng = np.random.default_rng(3)
     vals = rng.lognormal(size=5001)

@@ -116,3 +116,15 @@ def test_encoders_use_bounded_broadcast(spark):
     plan = _plan(C.q_target_encode_oof(spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BatchEvalPython" not in plan
+
+
+def test_no_row_udf_or_cartesian_in_any_exact_query(spark):
+    """Every oracle-checked query: no row-at-a-time Python, no cartesian product (1-row broadcast
+    nested-loop joins are the deliberate scalar broadcasts)."""
+    from __spark_entry__ import oracle_sql, queries
+
+    qs = queries()
+    for name in oracle_sql():
+        plan = _plan(qs[name](spark, SF_SMALL))
+        assert "BatchEvalPython" not in plan, name
+        assert "CartesianProduct" not in plan, name
