@@ -19,7 +19,7 @@ from tabcast.operators.joins import align
 from tabcast.plans.catalogue import KEY, LOG, SEED, TARGET, engineered, labelled, unlabelled
 from tabcast.plans.preprocess import preprocess
 from tabcast.schema import columns_by_type
-from tabcast.session import scratch_path
+from tabcast.session import cut_lineage, scratch_path
 from tabcast.sources import sinks
 
 RESERVED = (KEY, TARGET, LOG, "Target_Shift_Value", "Hospital_Location", "Supplier_Name")
@@ -212,8 +212,10 @@ def q_knn_scaled_pca(spark, d):
     k, _, pca, assembled = encode.pca_variance(flat, [f"x{i}" for i in range(width)])
     proj = pca.transform(assembled).select(F.col(KEY).alias("key"), vector_to_array("pca").alias("vec"),
                                            F.col(LOG).alias("y"), "is_valid")
-    tr = proj.filter(~F.col("is_valid")).drop("is_valid")
-    va = proj.filter(F.col("is_valid"))
+    # each side gets its own written lineage: both derive from one frame, which would make the
+    # cogroup's column references ambiguous
+    tr = cut_lineage(proj.filter(~F.col("is_valid")).drop("is_valid"))
+    va = cut_lineage(proj.filter(F.col("is_valid")))
     pred = knn.knn_regress(tr, va.select("key", "vec"), k=10)
     scored = pred.join(va.select("key", "y"), "key")
     return metrics.metrics(scored, "y", "pred", mape=False).withColumn("pca_components", F.lit(k))
