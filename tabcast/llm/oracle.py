@@ -65,4 +65,26 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM q
 """
 
-SQL = {"op2_mixing": MIX, "op7_warc": WARC, "op9_chat": CHAT}
+NGRAM_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+                                    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
+  FROM w
+), e AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id AS node, doc_id AS reached FROM s
+  UNION SELECT r.node, p.b FROM r JOIN p ON r.reached = p.a
+), c AS (
+  SELECT node, min(reached) AS component_id FROM r GROUP BY node
+)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON s.doc_id = c.node
+"""
+
+SQL = {"op2_mixing": MIX, "op3_ngram_join": NGRAM_JOIN, "op7_warc": WARC, "op9_chat": CHAT}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, mixing, packing, warc
+from tabcast.llm import chat, mixing, ngram_join, packing, warc
 from tabcast.llm.common import table
 
 
@@ -21,6 +21,11 @@ def _tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link all documents whose sets of 4-word shingles have a Jaccard similarity of 85 percent or more."""
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC archives, read them back and merge their index runs."""
     e = warc.archive_pages(table(spark, sf_dir, "pages"))
