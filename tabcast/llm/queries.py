@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, mixing, ngram_join, packing, warc
+from tabcast.llm import chat, mixing, ngram_join, packing, toxicity, warc
 from tabcast.llm.common import table
 
 
+def toxicity_scorer(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Scorer:
+    """A scorer from the toxic labels of ``docs`` that are not held out."""
+    known = table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.fit(docs.select("doc_id", "text"), known)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score all documents for toxicity by their nearest labelled examples."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_scorer(spark, sf_dir, docs))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", F.slice("evidence", 1, 3).alias("evidence"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to source weights 1, 2, 3, each source at most three times over."""
     m = mixing.mix(table(spark, sf_dir, "documents"))
