@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, mixing, ngram_join, packing, toxicity, warc
+from tabcast.llm import chat, mixing, ngram_join, packing, pii, toxicity, warc
 from tabcast.llm.common import table
 
 
@@ -39,6 +39,14 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find personal data in all documents, by fixed patterns and by contexts learnt from what these find."""
+    e = pii.find_entities(table(spark, sf_dir, "documents"))
+    base = list(pii.KINDS)
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in base]
+    return e.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list([*base, pii.FOUND]).alias("spans"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC archives, read them back and merge their index runs."""
     e = warc.archive_pages(table(spark, sf_dir, "pages"))
