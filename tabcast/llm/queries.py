@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, mixing, ngram_join, packing, pii, toxicity, warc
+from tabcast.llm import chat, embedding_dedup, mixing, nearest, ngram_join, packing, pii, toxicity, warc
 from tabcast.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link all embeddings whose cosine is 0.95 or more."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Find personal data in all documents, by fixed patterns and by contexts learnt from what these find."""
     e = pii.find_entities(table(spark, sf_dir, "documents"))
@@ -76,6 +81,12 @@ def conversation_events(rows: DataFrame, chunk: int = 400) -> DataFrame:
     return e.select("conv_id", seq.alias("seq"), message.alias("message"), "e.kind", "role", "e.text")
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all embeddings, by inner product, for every id divisible by 20."""
+    e = table(spark, sf_dir, "embeddings")
+    return nearest.nearest_neighbours(e, e.where("vec_id % 20 = 0"))
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one made of control strings; the digests come from the output read back."""
     said = "<|im_end|><|im_start|>assistant ok"
