@@ -26,14 +26,21 @@ BLOCK = 4096
 
 
 def valid_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v) of the rows with an id and a vector that is neither null, empty nor zero and all finite; v as doubles."""
-    v = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    """(id, v) of the rows with an id and a vector that is neither null, empty nor zero and all finite; v as floats or doubles."""
+    kind = "array<float>" if dict(rows.dtypes)[vector_col] == "array<float>" else "array<double>"
+    v = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
 
 
+def number_type(v: DataFrame) -> str:
+    """numpy's name for the numbers of ``v``, which travel as they are and are computed with as doubles."""
+    return "<f4" if dict(v.dtypes)["v"] == "array<float>" else "<f8"
+
+
 def packed(v: DataFrame) -> DataFrame:
-    """``v`` with the vector as the bytes of its doubles, as numpy reads them."""
+    """``v`` with the vector as the bytes of its numbers, as numpy reads them."""
+    kind = number_type(v)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -41,12 +48,19 @@ def packed(v: DataFrame) -> DataFrame:
 
         for batch in batches:
             cols = {c: batch[c] for c in batch.schema.names}
-            cols["v"] = pa.array([np.asarray(x, dtype="<f8").tobytes() for x in cols["v"].to_pylist()], pa.binary())
+            cols["v"] = pa.array([np.asarray(x, dtype=kind).tobytes() for x in cols["v"].to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     return v.mapInArrow(run, ", ".join(f"{c} {'binary' if c == 'v' else t}" for c, t in v.dtypes))
 
 
+def unpacked(vectors, kind: str):
+    """A matrix of doubles from the bytes of vectors of one length."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(float)
+
+
 def _codebook(x, codes: int, rounds: int = 12):
     """k-means centres of the rows of ``x``; starts are spread over the rows, so reruns agree."""
     import numpy as np
@@ -61,18 +75,16 @@ def _codebook(x, codes: int, rounds: int = 12):
     return c
 
 
-def fit_codebooks(vectors: DataFrame, sample: int = SAMPLE, codes: int = CODES) -> dict[int, tuple]:
-    """Codebooks of the first and the second half, for each vector length in the sample."""
-    import numpy as np
-
+def fit_codebooks(vectors: DataFrame, kind: str, sample: int = SAMPLE, codes: int = CODES) -> dict[int, tuple]:
+    """Codebooks of the first and the second half, for each length in bytes in the sample."""
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()
     by_size: dict[int, list] = {}
     for r in rows:
-        by_size.setdefault(len(r["v"]) // 8, []).append(np.frombuffer(r["v"], "<f8"))
+        by_size.setdefault(len(r["v"]), []).append(r["v"])
     books = {}
     for size, x in by_size.items():
-        x = _unit(np.stack(x))
-        half = (size + 1) // 2
+        x = _unit(unpacked(x, kind))
+        half = (x.shape[1] + 1) // 2
         books[size] = (_codebook(x[:, :half], codes), _codebook(x[:, half:], codes))
     return books
 
@@ -123,66 +135,82 @@ def visit_limit(size: int, cosine: float, recall: float) -> float:
     return min((2 - 2 * cosine) * -2 * math.log(1 - recall) / max(size, 1), 2 - 2 * cosine)
 
 
-def _cells(vectors: DataFrame, books, cosine: float, recall: float) -> DataFrame:
-    """(cell, home, id, n, v): a row where the vector lies, and one for each cell it visits."""
-    shared = vectors.sparkSession.sparkContext.broadcast(books)
+def _cells(vectors: DataFrame, books, kind: str, cosine: float, recall: float, blocks: dict[str, int] | None) -> DataFrame:
+    """(cell, block, side, id, n, v): where each vector lies (side 0), and where it is held against others.
+
+    A vector visits its own cell (side 1) and, of the cells within its limit, those after its own
+    (side 2), so that each pair of cells meets once. ``blocks`` has the number of blocks of large
+    cells. Without it only the places (side 0) are made.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast((books, blocks or {}))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import xxhash
+
+        own_books, many = shared.value
 
         def batch_of(rows):
-            kinds = (pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
-            cols = list(zip(*rows)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["cell", "home", "id", "n", "v"])
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            cols = list(zip(*rows)) or [()] * 6
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["cell", "block", "side", "id", "n", "v"])
+
+        def place(out, row, home, visits):
+            out.append((home, xxhash.xxh32_intdigest(row[0].to_bytes(8, "little", signed=True)) % many.get(home, 1), 0, *row))
+            if blocks is not None:
+                out += [(cell, b, 1 if cell == home else 2, *row) for cell in visits for b in range(many.get(cell, 1))]
 
         for batch in batches:
             out, by_size = [], {}
             for row in zip(batch["id"].to_pylist(), batch["n"].to_pylist(), batch["v"].to_pylist()):
-                by_size.setdefault(len(row[2]) // 8, []).append(row)
+                by_size.setdefault(len(row[2]), []).append(row)
             for size, rows in by_size.items():
-                if size not in shared.value:  # a length that the sample lacks: one cell holds them all
-                    out += [(f"{size}", h, *r) for r in rows for h in (True, False)]
+                if size not in own_books:  # a length that the sample lacks: one cell holds them all
+                    for row in rows:
+                        place(out, row, f"{size}", [f"{size}"])
                     continue
-                x = _unit(np.stack([np.frombuffer(r[2], "<f8") for r in rows]))
-                half, limit = (size + 1) // 2, visit_limit(size, cosine, recall)
+                x = _unit(unpacked([r[2] for r in rows], kind))
+                half, limit = (x.shape[1] + 1) // 2, visit_limit(x.shape[1], cosine, recall)
                 homes, sides = [], []
-                for part, book in zip((x[:, :half], x[:, half:]), shared.value[size]):
+                for part, book in zip((x[:, :half], x[:, half:]), own_books[size]):
                     home, gap = _margins(part, book)
                     order = np.argsort(gap, axis=1, kind="stable")
-                    homes.append(home)
+                    homes.append(home.tolist())
                     sides.append((order, np.take_along_axis(gap, order, axis=1), (gap <= limit).sum(1)))
                 for i, row in enumerate(rows):
-                    out.append((f"{size}:{homes[0][i]}:{homes[1][i]}", True, *row))
-                    a, b = ([(float(g), int(o)) for g, o in zip(gap[i, : n[i]], order[i, : n[i]])] for order, gap, n in sides)
-                    out += [(f"{size}:{p}:{q}", False, *row) for p, q in multi_sequence(a, b, limit)]
+                    own = (homes[0][i], homes[1][i])
+                    a, b = (list(zip(gap[i, : n[i]].tolist(), order[i, : n[i]].tolist())) for order, gap, n in sides)
+                    visits = [] if blocks is None else [c for c in multi_sequence(a, b, limit) if c >= own]
+                    place(out, row, f"{size}:{own[0]}:{own[1]}", [f"{size}:{c[0]}:{c[1]}" for c in visits])
                     if len(out) > 5000:
                         yield batch_of(out)
                         out = []
             yield batch_of(out)
 
-    return vectors.mapInArrow(run, "cell string, home boolean, id long, n long, v binary")
+    return vectors.mapInArrow(run, "cell string, block int, side int, id long, n long, v binary")
 
 
-def _links_in_cell(cosine: float):
+def _links_in_cell(cosine: float, kind: str):
     def run(pdf):
         import numpy as np
         import pandas as pd
 
-        home, seen = pdf[pdf["home"]], pdf[~pdf["home"]]
+        home, seen = pdf[pdf["side"] == 0], pdf[pdf["side"] > 0]
         if home.empty or seen.empty:
             return pd.DataFrame({"id": [], "n_links": [], "root": []}, dtype="int64")
-        y = np.frombuffer(b"".join(home["v"]), "<f8").reshape(len(home), -1)
+        y = unpacked(home["v"], kind)
         y_id, y_n = home["id"].to_numpy(), home["n"].to_numpy()
-        y_norm = np.linalg.norm(y, axis=1)
-        parts, x_rows, y_rows = [], [], []
+        y_norm, y_links = np.linalg.norm(y, axis=1), np.zeros(len(home), np.int64)
+        counts, x_rows, y_rows = [], [], []
         for at in range(0, len(seen), 1024):
             part = seen.iloc[at : at + 1024]
-            x = np.frombuffer(b"".join(part["v"]), "<f8").reshape(len(part), -1)
-            x_id = part["id"].to_numpy()
+            x, x_id, x_n = unpacked(part["v"], kind), part["id"].to_numpy(), part["n"].to_numpy()
             near = (x @ y.T) / (np.linalg.norm(x, axis=1)[:, None] * y_norm) >= cosine
             near &= x_id[:, None] != y_id
-            parts.append((x_id, near @ y_n))
+            counts.append((x_id, near @ y_n))
+            # Visitors of other cells are links of those who live here; neighbours in the cell visit each other.
+            y_links += (x_n * (part["side"].to_numpy() == 2)) @ near
             a, b = np.nonzero(near)
             x_rows.append(x_id[a])
             y_rows.append(y_id[b])
@@ -202,9 +230,9 @@ def _links_in_cell(cosine: float):
                 break
             root = new
         found = pd.DataFrame({"id": ids, "n_links": 0, "root": ids[root]})
-        counts = pd.DataFrame({"id": np.concatenate([p[0] for p in parts]), "n_links": np.concatenate([p[1] for p in parts])})
-        counts = counts[counts["n_links"] > 0].assign(root=lambda t: t["id"])
-        return pd.concat([found, counts]).astype("int64")[["id", "n_links", "root"]]
+        linked = pd.DataFrame({"id": np.concatenate([*(c[0] for c in counts), y_id]), "n_links": np.concatenate([*(c[1] for c in counts), y_links])})
+        linked = linked[linked["n_links"] > 0].assign(root=lambda t: t["id"])
+        return pd.concat([found, linked]).astype("int64")[["id", "n_links", "root"]]
 
     return run
 
@@ -221,18 +249,17 @@ def near_duplicates(
     that repeat an id with the same vector are that one vector; ids should not repeat with others.
     An empty table gives no rows. Extra columns are ignored.
     """
-    # Very large and very small values would lose their length; scaling by the largest keeps the cosine.
     v = valid_vectors(rows, id_col, vector_col).distinct()
+    kind = number_type(v)
     classes = v.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
     classes = materialise(packed(classes.select("id", "n", "v")), "dedup-vectors")
-    cells = materialise(_cells(classes, fit_codebooks(classes), cosine, recall), "dedup-cells")
-    # A cell of very many vectors is cut into blocks; visitors come to each of them.
-    size = cells.where("home").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    cells = cells.join(size, "cell")
-    mine = F.array(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    cells = cells.withColumn("block", F.explode(F.when(F.col("home"), mine).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    links = cells.select("cell", "block", "home", "id", "n", "v").groupBy("cell", "block")
-    links = materialise(links.applyInPandas(_links_in_cell(cosine), "id long, n_links long, root long"), "dedup-links")
+    books = fit_codebooks(classes, kind)
+    # A cell of very many vectors is cut into blocks, and visitors come to each; there is one such cell per ``block`` vectors at most.
+    places = _cells(classes, books, kind, cosine, recall, None).groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+    blocks = {r["cell"]: -(-r["size"] // block) for r in places.where(F.col("size") > block).collect()}
+    cells = _cells(classes, books, kind, cosine, recall, blocks)
+    links = cells.groupBy("cell", "block").applyInPandas(_links_in_cell(cosine, kind), "id long, n_links long, root long")
+    links = materialise(links, "dedup-links")
     roots = components(links.where("id <> root"), "id", "root")
     counts = links.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     found = classes.select("id", "n").join(counts, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabcast.llm.common import hash_bucket, materialise
-from tabcast.llm.embedding_dedup import packed, valid_vectors
+from tabcast.llm.embedding_dedup import number_type, packed, unpacked, valid_vectors
 
 PROJECTIONS = 8
 #: A neighbour is missed with at most one less this chance, in each shard.
@@ -83,7 +83,7 @@ class ProjectedTree:
         return order, d[order]
 
 
-def _search(k: int, confidence: float, radius: float):
+def _search(k: int, confidence: float, radius: float, kinds: tuple[str, str]):
     limit = chi_square_quantile(confidence, PROJECTIONS)
 
     def run(queries, rows):
@@ -91,18 +91,19 @@ def _search(k: int, confidence: float, radius: float):
         import pandas as pd
 
         out = []
-        for size in sorted({len(v) // 8 for v in queries["v"]}):
-            q = queries[queries["v"].map(len) == size * 8].sort_values("id")
-            c = rows[rows["v"].map(len) == size * 8].sort_values("id")
+        items = [int(kind[-1]) for kind in kinds]
+        for size in sorted({len(v) // items[0] for v in queries["v"]}):
+            q = queries[queries["v"].map(len) == size * items[0]].sort_values("id")
+            c = rows[rows["v"].map(len) == size * items[1]].sort_values("id")
             if c.empty:
                 continue
-            x = np.frombuffer(b"".join(c["v"]), "<f8").reshape(len(c), -1)
+            x = unpacked(c["v"], kinds[1])
             ids = c["id"].to_numpy()
             lift = np.sqrt(np.maximum(radius * radius - (x * x).sum(1), 0))
             p = projection(size)
             tree = ProjectedTree(np.column_stack([x, lift]) @ p)
             x, ids = x[tree.order], ids[tree.order]
-            y = np.frombuffer(b"".join(q["v"]), "<f8").reshape(len(q), -1)
+            y = unpacked(q["v"], kinds[0])
             for who, own, seen in zip(q["id"].to_numpy(), y, y @ p[:-1]):
                 length = own @ own + radius * radius
                 best, best_id, worst = np.empty(0), np.empty(0, np.int64), -np.inf
@@ -139,15 +140,16 @@ def nearest_neighbours(
 
     Candidates are dealt to shards and queries to blocks; every block meets every shard.
     """
-    c = materialise(packed(valid_vectors(rows, id_col, vector_col).distinct()), "nearest-candidates")
-    q = materialise(packed(valid_vectors(queries, id_col, vector_col).distinct()), "nearest-queries")
-    norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda a, x: a + x * x))
-    radius = valid_vectors(rows, id_col, vector_col).agg(F.max(norm).alias("r")).first()["r"] or 0.0
+    own, asked = valid_vectors(rows, id_col, vector_col).distinct(), valid_vectors(queries, id_col, vector_col).distinct()
+    kinds = (number_type(asked), number_type(own))
+    norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    radius = own.agg(F.max(norm).alias("r")).first()["r"] or 0.0
+    c, q = materialise(packed(own), "nearest-candidates"), materialise(packed(asked), "nearest-queries")
     shards, blocks = max(1, -(-c.count() // SHARD)), max(1, -(-q.count() // QUERIES))
     c = c.withColumn("shard", hash_bucket(F.col("id"), shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     q = q.withColumn("block", hash_bucket(F.col("id"), blocks)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     found = q.groupBy("block", "shard").cogroup(c.groupBy("block", "shard"))
-    found = found.applyInPandas(_search(k, confidence, radius), "query_id long, vec_id long, score double")
+    found = found.applyInPandas(_search(k, confidence, radius, kinds), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
