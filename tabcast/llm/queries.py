@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, embedding_dedup, mixing, nearest, ngram_join, packing, pii, toxicity, warc
+from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, toxicity, warc
 from tabcast.llm.common import table
 
 
@@ -52,6 +52,14 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list([*base, pii.FOUND]).alias("spans"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of all documents, learning from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    tagger = language_id.fit(docs.where(~toxicity.held_out()))
+    out = language_id.identify(docs.select("doc_id", "text"), tagger)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC archives, read them back and merge their index runs."""
     e = warc.archive_pages(table(spark, sf_dir, "pages"))
