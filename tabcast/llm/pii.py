@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from tabcast.llm.common import materialise
 
-# Fixed by the contract, but for guards that only keep a match from being sought inside a run that
-# a match would have to begin with: kinds in order, and their patterns.
+# Fixed by the contract: kinds in order, and their patterns. Guards keep a match from being sought inside
+# a run that it would have to begin with, and repeats that never need to give back are possessive, so
+# very long runs take neither quadratic time nor a deep stack.
 _MAIL = "A-Za-z0-9._%+-"
 KINDS = {
     "email": rf"(?:\G|(?<![{_MAIL}]))[{_MAIL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Kind of what only its context gives away, and what may be such a value: a token with a digit or an @.
@@ -211,22 +212,24 @@ def redact(docs: DataFrame) -> DataFrame:
     kinds = [*KINDS, FOUND]
     tag = lambda x, k: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(k).alias("kind"))
     tagged = F.concat(*(_of_kind(F.transform, F.col(k), k, tag) for k in kinds))
-    e = e.select(F.col("doc_id").alias("_id"), F.sort_array(tagged).alias("_spans")).where(F.size("_spans") > 0)
-    out = docs.join(e, docs["doc_id"].eqNullSafe(e["_id"]), "left")
+    e = e.select("doc_id", F.sort_array(tagged).alias("spans")).where(F.size("spans") > 0)
+    # The row travels as one value, so its columns may have any names.
+    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    out = d.join(e, F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")), "left")
+    whole, clean = F.col("row")["text"], F.col("spans").isNull()
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
 
     def add(acc: Column, x: Column) -> Column:
-        gap = F.substring(docs["text"], acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
+        gap = F.substring(whole, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
         more = F.when(x["start"] >= acc["at"], F.concat(acc["text"], gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise(acc["text"])
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), more.alias("text"))
 
-    clean = F.aggregate("_spans", start, add, lambda acc: F.concat(acc["text"], F.substring(docs["text"], acc["at"] + 1, F.length(docs["text"]))))
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(clean)
+    cut = F.aggregate("spans", start, add, lambda acc: F.concat(acc["text"], F.substring(whole, acc["at"] + 1, F.length(whole))))
+    text = F.when(clean, whole).otherwise(cut)
     cols = []
     for c in docs.columns:
         if c == "n_chars":
-            kind = docs.schema[c].dataType
-            cols.append(F.when(F.col("_spans").isNull(), docs[c]).otherwise(F.length(text).cast(kind)).alias(c))
+            cols.append(F.when(clean, F.col("row")[c]).otherwise(F.length(text)).cast(docs.schema[c].dataType).alias(c))
         else:
-            cols.append(text.alias(c) if c == "text" else docs[c])
+            cols.append((text if c == "text" else F.col("row")[c]).alias(c))
     return out.select(*cols)
