@@ -1,21 +1,20 @@
 """Missing-value imputation (I1–I4) and exact quantiles.
 
-Exact quantiles never gather a column into one task: an approximate sketch (mergeable,
-bounded size) brackets each requested rank, one counting pass checks the bracket, and only
-the values inside it — a number bounded by ``max_band`` — are brought back and ranked.
-Brackets that are still too wide are narrowed by another pass over the bracket alone.
+Exact quantiles never bring values of a column together: a mergeable sketch of bounded size names
+two values around each wanted rank, one pass counts what lies below, on and between them, and the
+next round looks only between them. A rank that falls on one of the two values is answered, however
+many rows hold that value, so ties end the search instead of stalling it.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabcast.operators.solve import gram, ridge_from_gram
+from tabcast.operators.solve import gram, scaled_ridge_from_gram
 from tabcast.session import cut_lineage
 
 MISSING = "Missing"
@@ -33,114 +32,91 @@ def _rank_positions(n: int, q: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n - 1), pos - lo
 
 
-def exact_quantiles(df: DataFrame, cols, q: float = 0.5, accuracy: int = 10000, max_band: int = 100_000) -> dict:
-    """Exact q-quantile (linear interpolation, = DuckDB quantile_cont / pandas) per column.
+def exact_quantiles(df: DataFrame, cols, q=0.5, accuracy: int = 10000) -> dict:
+    """Exact quantiles (linear interpolation, = DuckDB quantile_cont / pandas) of several columns.
 
-    All columns are resolved together: one pass for counts and sketch brackets, one pass for
-    the number of values below/inside each bracket, one collect of the bracketed values (at
-    most ``max_band`` per column). A column whose bracket misses is refined on its own.
+    ``q`` is one fraction (result: column → value) or several (result: fraction → column → value);
+    all of them share every pass. A column without values has None. Each round removes at least
+    the two named values from what is left and, by the sketch, all but about ``2 / accuracy`` of the
+    rows, so a few rounds of two passes do; only counts and named values reach the driver.
     """
-    cols = list(cols)
+    cols, fractions = list(cols), [q] if isinstance(q, (int, float)) else list(q)
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts = base.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-        need = {}
-        for c in cols:
-            if counts[c]:
-                need[c] = _rank_positions(counts[c], q)
-        big = [c for c in need if counts[c] > max_band]
-        brackets = {}
-        if big:
-            eps = 2.0 / accuracy
-            aggs = []
-            for c in big:
-                lo_r, hi_r, _ = need[c]
-                p = [max(lo_r / counts[c] - eps, 0.0), min(hi_r / counts[c] + eps, 1.0)]
-                aggs.append(F.percentile_approx(c, p, accuracy).alias(c))
-            row = base.agg(*aggs).first()
-            brackets = {c: tuple(row[c]) for c in big}
-            aggs = []
-            for c, (lo, hi) in brackets.items():
-                aggs += [F.count(F.when(F.col(c) < lo, 1)).alias(f"{c}__below"),
-                         F.count(F.when((F.col(c) >= lo) & (F.col(c) <= hi), 1)).alias(f"{c}__inside")]
-            stat = base.agg(*aggs).first()
-        resolved, fallback = {}, []
-        conds = []
-        for c in need:
-            lo_r, hi_r, _ = need[c]
-            if c in brackets:
-                below, inside = stat[f"{c}__below"], stat[f"{c}__inside"]
-                if not (below <= lo_r and hi_r < below + inside and inside <= max_band):
-                    fallback.append(c)
-                    continue
-                lo, hi = brackets[c]
-                cond = (F.col(c) >= lo) & (F.col(c) <= hi)
-            else:
-                below, cond = 0, F.col(c).isNotNull()
-            resolved[c] = below
-            conds.append((c, cond))
-        values: dict[str, list] = {c: [] for c in resolved}
-        if conds:
-            # one scan: each row contributes the columns whose value lies in that column's bracket
-            picked = F.array(*[F.when(cond, F.struct(F.lit(c).alias("column"), F.col(c).alias("value")))
-                               for c, cond in conds])
-            band = base.select(F.explode(F.filter(picked, lambda x: x.isNotNull())).alias("p"))
-            for r in band.select("p.column", "p.value").collect():  # ≤ max_band values per column
-                values[r[0]].append(r[1])
-        result = {c: None for c in cols}
-        for c, below in resolved.items():
-            v = np.sort(np.asarray(values[c], dtype=float))
-            lo_r, hi_r, frac = need[c]
-            a, b = v[lo_r - below], v[hi_r - below]
-            result[c] = float(a + (b - a) * frac)
-        for c in fallback:
-            lo_r, hi_r, frac = need[c]
-            a, b = _order_stats(base.select(c).filter(F.col(c).isNotNull()), c, [lo_r, hi_r], counts[c],
-                                accuracy * 10, max_band)
-            result[c] = a + (b - a) * frac
-        return result
+        counts = base.agg(*[F.count(c).alias(c) for c in cols]).first().asDict() if cols else {}
+        ranks = {(c, f): _rank_positions(counts[c], f) for c in cols if counts[c] for f in fractions}
+        found = _order_statistics(base, {(c, lo) for (c, _), (lo, _, _) in ranks.items()}, counts, accuracy)
+        # The next order statistic: the same value if more rows hold it, else the smallest one above.
+        wanted = {(c, lo) for (c, _), (lo, hi, part) in ranks.items() if part and hi > lo and found[c, lo][1] <= hi}
+        above = {}
+        if wanted:
+            keys = sorted(wanted)
+            row = base.agg(*[F.min(F.when(F.col(c) > found[c, r][0], F.col(c))).alias(f"v{i}") for i, (c, r) in enumerate(keys)]).first()
+            above = {k: row[f"v{i}"] for i, k in enumerate(keys)}
+        result = {f: dict.fromkeys(cols) for f in fractions}
+        for (c, f), (lo, _, part) in ranks.items():
+            value = found[c, lo][0]
+            result[f][c] = value + (above.get((c, lo), value) - value) * part
+        return result[fractions[0]] if isinstance(q, (int, float)) else result
     finally:
         base.unpersist()
 
 
-def _order_stats(col_df: DataFrame, c: str, ranks, n: int, accuracy: int, max_band: int) -> list[float]:
-    """Values of the given 0-based ranks of column ``c`` (non-null rows only)."""
-    lo_rank, hi_rank = min(ranks), max(ranks)
-    cur, offset, cur_n = col_df, 0, n
-    while True:
-        if cur_n <= max_band:
-            band_lo, band_hi = None, None
-        else:
-            eps = 2.0 / accuracy
-            p_lo = max((lo_rank - offset) / cur_n - eps, 0.0)
-            p_hi = min((hi_rank - offset) / cur_n + eps, 1.0)
-            band_lo, band_hi = cur.agg(F.percentile_approx(c, [p_lo, p_hi], accuracy).alias("b")).first()["b"]
-        if band_lo is None:
-            below, inside = 0, cur_n
-            band = cur
-        else:
-            stat = cur.agg(
-                F.count(F.when(F.col(c) < band_lo, 1)).alias("below"),
-                F.count(F.when((F.col(c) >= band_lo) & (F.col(c) <= band_hi), 1)).alias("inside"),
-            ).first()
-            below, inside = stat["below"], stat["inside"]
-            band = cur.filter((F.col(c) >= band_lo) & (F.col(c) <= band_hi))
-        ok = offset + below <= lo_rank and hi_rank < offset + below + inside
-        if ok and inside <= max_band:
-            values = np.sort(np.array([r[0] for r in band.collect()], dtype=float))
-            return [float(values[r - offset - below]) for r in ranks]
-        if ok:
-            cur, offset, cur_n = band, offset + below, inside
-            accuracy = min(accuracy * 10, 10_000_000)
-        else:  # sketch bracket missed (rare): widen by falling back to a larger accuracy
-            accuracy = min(accuracy * 10, 10_000_000)
-            if accuracy >= 10_000_000 and cur_n > max_band:
-                max_band = cur_n  # last resort keeps correctness
+def _order_statistics(base: DataFrame, targets, counts: dict, accuracy: int) -> dict:
+    """(column, 0-based rank) → (value, number of values up to and including it)."""
+    # What is left of each target: values strictly between two bounds, and how many lie at or below the lower one.
+    left = {t: (None, None, 0, counts[t[0]]) for t in targets}
+    found = {}
+    while left:
+        keys = sorted(left)
+        inside = {}
+        for c, r in keys:
+            low, high, _, _ = left[c, r]
+            cond = F.col(c).isNotNull()
+            if low is not None:
+                cond &= F.col(c) > low
+            if high is not None:
+                cond &= F.col(c) < high
+            inside[c, r] = cond
+        aggs = []
+        for i, (c, r) in enumerate(keys):
+            _, _, below, n = left[c, r]
+            eps = 0.0 if n <= accuracy // 2 else 1.0 / accuracy
+            at = (r - below + 0.5) / n
+            ends = [max(at - eps, 0.0), min(at + eps, 1.0)]
+            aggs.append(F.percentile_approx(F.when(inside[c, r], F.col(c)), ends, accuracy).alias(f"p{i}"))
+        named = base.agg(*aggs).first()
+        aggs = []
+        for i, (c, r) in enumerate(keys):
+            lo, hi = named[f"p{i}"]
+            v = F.col(c)
+            for k, cond in (("a", v < lo), ("b", v == lo), ("c", (v > lo) & (v < hi)), ("d", (v == hi) & F.lit(hi > lo))):
+                aggs.append(F.count(F.when(inside[c, r] & cond, 1)).alias(f"{k}{i}"))
+        stat = base.agg(*aggs).first()
+        now = {}
+        for i, (c, r) in enumerate(keys):
+            low, high, below, n = left[c, r]
+            lo, hi = named[f"p{i}"]
+            for k, value, bounds in (("a", None, (low, lo)), ("b", lo, None), ("c", None, (lo, hi)), ("d", hi, None)):
+                size = stat[f"{k}{i}"]
+                if r < below + size:
+                    break
+                below += size
+            else:
+                value, bounds, size = None, (hi, high), n - (below - left[c, r][2])
+            if bounds is None:
+                found[c, r] = (value, below + size)
+            else:
+                now[c, r] = (*bounds, below, size)
+        left = now
+    return found
 
 
 def median_fill(fit_df: DataFrame, apply_df: DataFrame, cols) -> tuple[DataFrame, dict]:
-    """Exact median fitted on ``fit_df`` (train), applied to ``apply_df``."""
-    med = exact_quantiles(fit_df, cols, 0.5)
+    """Exact median fitted on ``fit_df`` (train), applied to ``apply_df``; columns without NULLs there need none."""
+    cols = list(cols)
+    missing = apply_df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in cols]).first().asDict() if cols else {}
+    med = exact_quantiles(fit_df, [c for c in cols if missing[c]], 0.5)
     return apply_df.fillna({c: v for c, v in med.items() if v is not None}), med
 
 
@@ -158,18 +134,12 @@ def most_frequent(fit_df: DataFrame, cols, numeric: bool = False) -> DataFrame:
     return best.select("column", F.col("b.value").alias("value"), (-F.col("b.neg_n")).alias("n"))
 
 
-def most_frequent_fill(fit_df: DataFrame, apply_df: DataFrame, cols, numeric: bool = False):
-    """Fill with the train mode (one small collect: one row per column)."""
-    modes = {r["column"]: r["value"] for r in most_frequent(fit_df, cols, numeric).collect()}
-    return apply_df.fillna(modes), modes
-
-
 def iterative_impute(
     df: DataFrame,
     cols,
     max_iter: int = 10,
     tol: float = 1e-3,
-    ridge: float = 1e-6,
+    ridge: float = 1e-12,
     checkpoint: bool = True,
 ) -> DataFrame:
     """I4: chained-equation imputation of the numeric ``cols``.
@@ -177,7 +147,8 @@ def iterative_impute(
     Start from the column means; then, round-robin from the least to the most incomplete
     column, regress each incomplete column on all others over its observed rows and replace
     its missing cells by the prediction. Each regression is one distributed Gram aggregate
-    (d+1)² plus a (d+1)×(d+1) ridge solve on the driver; rows never leave the executors.
+    (d+1)² plus a solve on the driver, on columns centred and scaled from the Gram itself
+    (``ridge`` is relative to their unit variance); rows never leave the executors.
     Stops when the largest change of an imputed cell, relative to the largest observed
     magnitude, is below ``tol``. Each round is checkpointed to the shared checkpoint folder.
     Only runs if something is missing; observed cells are never changed.
@@ -196,34 +167,31 @@ def iterative_impute(
     cur = cur.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(stats[f"{c}__mean"])) for c in incomplete})
     if checkpoint:
         cur = cut_lineage(cur)
-    held = []
+    cached = None  # the one generation kept in memory besides the one being made
     for _ in range(max_iter):
         cur = cur.withColumns({f"__prev_{c}": F.col(c) for c in incomplete})
         for c in incomplete:
             others = [o for o in cols if o != c]
-            G, xy, _, n = gram(cur, others, c, where=F.col(f"__obs_{c}"))
-            w = ridge_from_gram(G, xy, ridge * max(np.trace(G) / max(G.shape[0], 1), 1.0))
+            G, xy, _, _ = gram(cur, others, c, where=F.col(f"__obs_{c}"))
+            w = scaled_ridge_from_gram(G, xy, ridge)
             pred = F.lit(float(w[0]))
             for wi, o in zip(w[1:], others):
                 pred = pred + F.lit(float(wi)) * F.col(o)
-            # persist each update: the next Gram pass fills the cache, and plans built on it start
-            # from the cached relation instead of inlining every earlier update (which grows the
-            # expression tree exponentially in the number of columns)
-            nxt = cur.withColumn(c, F.when(F.col(f"__obs_{c}"), F.col(c)).otherwise(pred)).persist(
-                StorageLevel.MEMORY_AND_DISK
-            )
-            if cur.is_cached:
-                held.append(cur)
-            cur = nxt
-        if checkpoint:
-            cur = cut_lineage(cur)
-        for h in held:
-            h.unpersist()
-        held.clear()
+            # Each update is cached, so later plans start from it instead of inlining every earlier
+            # update, which would grow the expressions exponentially in the number of columns.
+            nxt = cur.withColumn(c, F.when(F.col(f"__obs_{c}"), F.col(c)).otherwise(pred)).persist(StorageLevel.MEMORY_AND_DISK)
+            if cached is not None:
+                nxt.count()  # filled from the older generation, which may go now
+                cached.unpersist()
+            cur = cached = nxt
         # infinity norm of the change matrix = largest row sum of |new − old|
         row_change = sum((F.abs(F.col(c) - F.col(f"__prev_{c}")) for c in incomplete), F.lit(0.0))
         change = cur.agg(F.max(row_change).alias("m")).first()["m"] or 0.0
         cur = cur.drop(*[f"__prev_{c}" for c in incomplete])
+        if checkpoint:
+            cur = cut_lineage(cur)
+            cached.unpersist()
+            cached = None
         if change < tol * scale:
             break
     return cur.drop(*[f"__obs_{c}" for c in incomplete])

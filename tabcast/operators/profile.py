@@ -73,7 +73,7 @@ def describe(df: DataFrame, cols) -> DataFrame:
             F.max(x).cast("double").alias(f"{c}__max"),
         ]
     wide = df.agg(*aggs)
-    qs = {q: exact_quantiles(df, cols, q) for q in (0.25, 0.5, 0.75)}
+    qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75))
     wide = wide.withColumns(
         {f"{c}__p{int(q * 100)}": F.lit(qs[q][c]).cast("double") for q in qs for c in cols}
     )

@@ -373,8 +373,7 @@ def q_iterative_impute_one_predictor(spark, d):
     df = labelled(spark, d).filter(F.col("Equipment_Value").isNotNull()).select(
         KEY, "Equipment_Weight", "Equipment_Value"
     )
-    out = impute.iterative_impute(df, ["Equipment_Weight", "Equipment_Value"], max_iter=1, ridge=0.0,
-                                  checkpoint=False)
+    out = impute.iterative_impute(df, ["Equipment_Weight", "Equipment_Value"], max_iter=1, checkpoint=False)
     return out.select(KEY, "Equipment_Weight")
 
 
@@ -382,7 +381,7 @@ def q_iterative_impute(spark, d):
     """I4: chained-equation imputation of all numeric features (≤10 rounds, checkpointed)."""
     df = engineered(spark, d)
     _, nums = columns_by_type(df, exclude=(KEY, TARGET, LOG, "Target_Shift_Value"))
-    out = impute.iterative_impute(df, nums, max_iter=3)
+    out = impute.iterative_impute(df, nums)
     return out.select(KEY, *nums)
 
 
