@@ -115,22 +115,23 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **kw) -> DataFrame:
     Rows that the mix does not take go; the columns stay. ``n_chars``, where there is one, follows
     the text of a cut document. Documents need distinct ids here, as rows are matched by id.
     """
-    m = mix(docs, seed=seed, **kw).where("taken > 0").select(F.col("doc_id").alias("_id"), "size", "epochs", "part")
-    out = docs.join(m, docs["doc_id"].eqNullSafe(m["_id"]))
+    m = mix(docs, seed=seed, **kw).where("taken > 0").select("doc_id", "size", "epochs", "part")
+    # The row travels as one value, so its columns may have any names.
+    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    out = d.join(m, F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")))
     # An entry is the number of words of that copy: the size for whole epochs, the part for the last one.
     copies = F.concat(
         F.array_repeat(F.col("size"), F.col("epochs").cast("int")),
         F.when(F.col("part") > 0, F.array(F.col("part"))).otherwise(F.array().cast("array<bigint>")),
     )
-    out = out.withColumn("_words", F.explode(copies))
-    head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("_words").cast("int")), " ")
-    text = F.when(F.col("_words") < F.col("size"), head).otherwise(F.col("text"))
+    out = out.select("row", "size", F.explode(copies).alias("words"))
+    whole, cut = F.col("row")["text"], F.col("words") < F.col("size")
+    head = F.array_join(F.slice(F.regexp_extract_all(whole, F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("words").cast("int")), " ")
+    text = F.when(cut, head).otherwise(whole)
     cols = []
     for c in docs.columns:
-        if c == "text":
-            cols.append(text.alias(c))
-        elif c == "n_chars":
-            cols.append(F.when(F.col("_words") < F.col("size"), F.length(text)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
+        if c == "n_chars":
+            cols.append(F.when(cut, F.length(text)).otherwise(F.col("row")[c]).cast(docs.schema[c].dataType).alias(c))
         else:
-            cols.append(docs[c])
+            cols.append((text if c == "text" else F.col("row")[c]).alias(c))
     return out.select(*cols)

@@ -28,7 +28,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", "taken", "source", "first_word")
 
 
-def _tokenizer(name: str = "word_bpe_49k.json") -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -36,7 +36,7 @@ def _tokenizer(name: str = "word_bpe_49k.json") -> str:
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link all documents whose sets of 4-word shingles have a Jaccard similarity of 85 percent or more."""
-    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"))
+    return ngram_join.ngram_jaccard_join(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 2048 ids."""
-    return packing.pack(table(spark, sf_dir, "documents"), _tokenizer())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict:
