@@ -77,24 +77,25 @@ def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str,
 # ---------------------------------------------------------------- OOF / hold-out with Spark ML models
 
 
-def oof_predictions(df: DataFrame, key: str, fold: str, fitters: dict, k: int, label: str = "y") -> DataFrame:
-    """B1: for each fold f and model m, fit ``fitters[m](train_rows)`` on fold ≠ f and score fold = f.
+def oof_predictions(folds, key: str, fold: str, fitters: dict, label: str = "y", parallelism: int = 2) -> DataFrame:
+    """B1: for each (train, valid) pair of ``folds`` and model m, fit ``fitters[m](train)`` and score ``valid``.
 
-    ``fitters[m]`` returns a fitted Spark ML model (or pipeline) whose ``transform`` adds a
-    ``prediction`` column. k × m fits, each a distributed Spark ML job; the result is unioned long.
+    The pairs come ready made, so whatever is fitted on features (fills, encodings) can be fitted on
+    each fold's training rows. ``fitters[m]`` returns a fitted Spark ML model (or pipeline) whose
+    ``transform`` adds a ``prediction`` column. The fits, distributed Spark ML jobs, run
+    ``parallelism`` at a time; the result is unioned long.
     """
-    parts = []
-    for f in range(k):
-        train = df.filter(F.col(fold) != f)
-        valid = df.filter(F.col(fold) == f)
-        for name, fit in fitters.items():
-            model = fit(train)
-            parts.append(
-                model.transform(valid).select(
-                    key, F.col(fold), F.lit(name).alias("model"), F.col("prediction").alias("pred"),
-                    F.col(label).cast("double").alias("y"),
-                )
-            )
+    from concurrent.futures import ThreadPoolExecutor
+
+    jobs = [(train, valid, name, fit) for train, valid in folds for name, fit in fitters.items()]
+    with ThreadPoolExecutor(parallelism) as pool:
+        fitted = list(pool.map(lambda j: j[3](j[0]), jobs))
+    parts = [
+        model.transform(valid).select(
+            key, F.col(fold), F.lit(name).alias("model"), F.col("prediction").alias("pred"), F.col(label).cast("double").alias("y")
+        )
+        for model, (_, valid, name, _) in zip(fitted, jobs)
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -7,7 +7,6 @@ driver's rows-only check. Every fit is a Spark ML job over the whole labelled ta
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +24,38 @@ from tabcast.sources import sinks
 RESERVED = (KEY, TARGET, LOG, "Target_Shift_Value", "Hospital_Location", "Supplier_Name")
 
 
-def model_frame(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
-    """Labelled rows → categoricals filled and label-encoded, numerics median-filled (exact, fitted on
-    all labelled rows), one feature vector; persisted because every model below reuses it."""
+def coded_frame(spark: SparkSession, d: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Labelled rows with categoricals filled and label-encoded, numerics still with NULLs, fold and
+    hold-out flag; written once, because every model reads it in many passes. (frame, features, numerics)"""
     df = engineered(spark, d)
     cats, nums = columns_by_type(df, exclude=RESERVED)
     df = impute.constant_fill(df, cats).withColumn("Rural_Hospital", yes_no_code("Rural_Hospital"))
     label_cols = [c for c in cats if c != "Rural_Hospital"]
+    df = cut_lineage(df.select(KEY, LOG, *label_cols, "Rural_Hospital", *nums))
     df, _ = encode.label_encode(df, df, label_cols)
-    df, _ = impute.median_fill(df, df, nums)
     feats = label_cols + ["Rural_Hospital"] + nums
+    df = df.select(KEY, LOG, *[F.col(c).cast("double").alias(c) for c in feats])
     df = split.kfold(df, KEY, 5, SEED).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
-    out = models.assemble(df.select(KEY, LOG, "fold", "is_valid", *feats), feats)
-    return out.persist(StorageLevel.MEMORY_AND_DISK), feats
+    return cut_lineage(df), feats, nums
+
+
+def model_frame(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    """``coded_frame`` with numerics filled by the exact medians of the *training* rows (not ``is_valid``)
+    and one feature vector."""
+    df, feats, nums = coded_frame(spark, d)
+    df, _ = impute.median_fill(df.filter(~F.col("is_valid")), df, nums)
+    return cut_lineage(models.assemble(df, feats)), feats
+
+
+def fold_frames(spark: SparkSession, d: str, k: int = 5) -> list[tuple[DataFrame, DataFrame]]:
+    """(train, valid) of every fold, numerics filled by the medians of that fold's training rows."""
+    df, feats, nums = coded_frame(spark, d)
+    out = []
+    for f in range(k):
+        filled, _ = impute.median_fill(df.filter(F.col("fold") != f), df, nums)
+        filled = models.assemble(filled, feats)
+        out.append((filled.filter(F.col("fold") != f), filled.filter(F.col("fold") == f)))
+    return out
 
 
 def _split(df):
@@ -62,7 +80,7 @@ def q_ols_one_feature(spark, d):
 def q_linear_models(spark, d):
     """L1, L2, L4, L5 (+L16, K3): validation scores and the 10 most positive / negative coefficients."""
     df, feats = model_frame(spark, d)
-    scaled_stats = encode.fit_standard_scaler(df, feats)
+    scaled_stats = encode.fit_standard_scaler(df.filter(~F.col("is_valid")), feats)
     df = encode.apply_standard_scaler(df, scaled_stats, feats)
     df = models.assemble(df.drop("features"), feats)
     train, valid = _split(df)
@@ -175,43 +193,60 @@ def q_boosting_early_stop(spark, d):
 
 def q_ordered_stats_boosting(spark, d):
     """Categorical columns as ordered target statistics (E8, no leakage of a row's own target)
-    feeding squared-loss boosting with Spark's validation-based early stop (L13)."""
+    feeding squared-loss boosting with Spark's validation-based early stop (L13). The statistics,
+    prior and medians come from training rows; validation rows read the full training totals."""
     df = engineered(spark, d)
     cats, nums = columns_by_type(df, exclude=RESERVED)
-    df = impute.constant_fill(df, cats)
-    df = encode.ordered_target_stats(df, cats, LOG, KEY, seed=SEED)
-    df, _ = impute.median_fill(df, df, nums)
+    df = impute.constant_fill(df, cats).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    df = cut_lineage(df.select(KEY, LOG, "is_valid", *cats, *nums))
+    df, _ = impute.median_fill(df.filter(~F.col("is_valid")), df, nums)
+    X = ordered_stats_split(df, cats, LOG, "is_valid")
     feats = [f"{c}_ots" for c in cats] + nums
-    df = df.withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
-    X = models.assemble(df.select(KEY, LOG, "is_valid", *feats), feats)
+    X = cut_lineage(models.assemble(X.select(KEY, LOG, "is_valid", *feats), feats))
     m = models.fit_gbt(X, LOG, n_iter=30, lr=0.1, max_depth=6, validation_col="is_valid")
     return _score(m, X.filter("is_valid"), "ordered_stats_gbt").withColumn("trees", F.lit(len(m.trees)))
 
 
+def ordered_stats_split(df: DataFrame, cats, target: str, flag: str) -> DataFrame:
+    """E8 on the rows not flagged; flagged rows get each category's total statistic over those."""
+    train, valid = df.filter(~F.col(flag)), df.filter(F.col(flag))
+    prior = train.agg(F.avg(target).alias("__prior"))
+    for c in cats:
+        total = train.groupBy(F.col(c).cast("string").alias("__v")).agg(F.sum(target).alias("__s"), F.count(target).alias("__c"))
+        valid = valid.join(total, F.col(c).cast("string") == F.col("__v"), "left").crossJoin(F.broadcast(prior))
+        stat = (F.coalesce("__s", F.lit(0.0)) + F.col("__prior")) / (F.coalesce("__c", F.lit(0)) + 1)
+        valid = valid.withColumn(f"{c}_ots", stat).drop("__v", "__s", "__c", "__prior")
+    return encode.ordered_target_stats(train, cats, target, KEY, seed=SEED).unionByName(valid)
+
+
 # ------------------------------------------------------------------ KNN with scaling + PCA
 
 
 def q_knn_scaled_pca(spark, d):
-    """E3 + E9 + E10 + L12: one-hot, population-std scaling, PCA to 95 % variance, 10-NN with
-    1/distance weights; validation metrics on the log target."""
+    """E3 + E9 + E10 + L12: one-hot of the categoricals, population-std scaling of all columns, PCA to
+    95 % variance, 10-NN with 1/distance weights; medians, one-hot, scaling and PCA are fitted on the
+    training rows. Validation metrics on the log target."""
     df = engineered(spark, d)
     cats, nums = columns_by_type(df, exclude=RESERVED)
-    df = impute.constant_fill(df, cats)
-    df, _ = impute.median_fill(df, df, nums)
-    df = df.withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    # The zip code has more values than a dense PCA can hold; its state stays.
+    cats = [c for c in cats if c != "Location_Zip"]
+    df = impute.constant_fill(df, cats).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
+    df = cut_lineage(df.select(KEY, LOG, "is_valid", *cats, *nums))
+    df, _ = impute.median_fill(df.filter(~F.col("is_valid")), df, nums)
+    df = encode.fit_one_hot(df.filter(~F.col("is_valid")), cats).transform(df)
+    df = models.assemble(df, nums + [f"{c}_ohe" for c in cats], out="x")
     train = df.filter(~F.col("is_valid"))
-    small = ["Transport_Method", "Hospital_Info", "Installation_Service", "Urgent_Shipping"]
-    ohe = encode.fit_one_hot(train, small)
-    df = ohe.transform(df)
-    st = encode.fit_standard_scaler(df.filter(~F.col("is_valid")), nums)
-    df = encode.apply_standard_scaler(df, st, nums)
-    df = models.assemble(df, nums + [f"{c}_ohe" for c in small], out="x")
-    arr = df.select(KEY, LOG, "is_valid", vector_to_array("x").alias("x"))
-    width = arr.agg(F.max(F.size("x")).alias("w")).first()["w"]
-    flat = arr.select(KEY, LOG, "is_valid", *[F.col("x")[i].alias(f"x{i}") for i in range(width)])
-    k, _, pca, assembled = encode.pca_variance(flat, [f"x{i}" for i in range(width)])
-    proj = pca.transform(assembled).select(F.col(KEY).alias("key"), vector_to_array("pca").alias("vec"),
-                                           F.col(LOG).alias("y"), "is_valid")
+    from pyspark.ml.feature import PCA, StandardScaler
+
+    scaler = StandardScaler(inputCol="x", outputCol="z", withMean=True, withStd=True).fit(train)
+    wide = cut_lineage(scaler.transform(df).select(KEY, LOG, "is_valid", "z"))
+    train = wide.filter(~F.col("is_valid"))
+    width = scaler.mean.size
+    pca = PCA(k=width, inputCol="z", outputCol="pca").fit(train)
+    share = np.cumsum(pca.explainedVariance.toArray())
+    k = int(np.searchsorted(share, 0.95) + 1)
+    vec = F.slice(vector_to_array("pca"), 1, k)
+    proj = pca.transform(wide).select(F.col(KEY).alias("key"), vec.alias("vec"), F.col(LOG).alias("y"), "is_valid")
     # each side gets its own written lineage: both derive from one frame, which would make the
     # cogroup's column references ambiguous
     tr = cut_lineage(proj.filter(~F.col("is_valid")).drop("is_valid"))
@@ -236,7 +271,7 @@ def q_dtype_dispatch(spark, d):
     cats, nums = columns_by_type(df, exclude=RESERVED)
     from pyspark.ml.regression import LinearRegression
 
-    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, regParam=0.0, solver="normal"))
+    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, regParam=0.0, solver="l-bfgs"))
     m = pipe.fit(df.filter(~F.col("is_valid")))
     return _score(m, df.filter(F.col("is_valid")), "dtype_dispatch_ols")
 
@@ -244,27 +279,35 @@ def q_dtype_dispatch(spark, d):
 # ------------------------------------------------------------------ tuning
 
 
-def q_random_search(spark, d):
+def q_random_search(spark, d, n_trials: int = 6, n_trees=(5, 15), max_depth=(3, 8)):
     """Seeded random search over forest size/depth/leaf and target-encoding smoothing; each
-    trial scored by mean per-fold RMSE with in-fold (leak-free) encoding; best refit on all rows."""
+    trial scored by mean per-fold RMSE with in-fold (leak-free) encoding of all categoricals and in-fold
+    medians; the best trial is fitted again on all rows (``refit_trees``, ``refit_rmse``).
+
+    The trial count and ranges are parameters; the defaults are small, because a forest of
+    hundreds of deep trees for each of 30 trials takes hours on one machine.
+    """
     df = engineered(spark, d)
     cats, nums = columns_by_type(df, exclude=RESERVED)
-    df = impute.constant_fill(df, cats)
-    df, _ = impute.median_fill(df, df, nums)
-    df = split.kfold(df, KEY, 5, SEED).persist(StorageLevel.MEMORY_AND_DISK)
-    space = {"n_trees": ("int", 5, 15), "max_depth": ("int", 3, 8), "min_leaf": ("int", 1, 10),
+    df = split.kfold(impute.constant_fill(df, cats), KEY, 5, SEED)
+    df = cut_lineage(df.select(KEY, LOG, "fold", *cats, *nums))
+    medians = [impute.exact_quantiles(df.filter(F.col("fold") != f), nums, 0.5) for f in range(5)]
+    space = {"n_trees": ("int", *n_trees), "max_depth": ("int", *max_depth), "min_leaf": ("int", 1, 10),
              "smoothing": ("float", 0.5, 10.0)}
-    trials = [r.asDict() for r in tune.sample_trials(spark, space, 6, SEED).collect()]
-    enc_cols = ["Transport_Method", "Hospital_Info", "Equipment_Type"]
+    trials = [r.asDict() for r in tune.sample_trials(spark, space, n_trials, SEED).collect()]
+    feats = [f"{c}_te" for c in cats] + nums
+    fill = lambda x, m: x.fillna({c: v for c, v in m.items() if v is not None})
+
+    def forest(x, t):
+        return models.fit_forest(x, LOG, n_trees=int(t["n_trees"]), max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
 
     def score(t):
-        enc = encode.target_encode_oof(df, enc_cols, LOG, "fold", smoothing=t["smoothing"], suffix="_te")
-        feats = [f"{c}_te" for c in enc_cols] + nums
-        X = models.assemble(enc.select(KEY, LOG, "fold", *feats), feats)
+        enc = encode.target_encode_oof(df, cats, LOG, "fold", smoothing=t["smoothing"], suffix="_te")
+        enc = cut_lineage(enc.select(KEY, LOG, "fold", *feats))
         parts = []
         for f in range(5):
-            m = models.fit_forest(X.filter(F.col("fold") != f), LOG, n_trees=int(t["n_trees"]),
-                                  max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
+            X = models.assemble(fill(enc, medians[f]), feats)
+            m = forest(X.filter(F.col("fold") != f), t)
             parts.append(m.transform(X.filter(F.col("fold") == f)).select("fold", LOG, "prediction"))
         allp = parts[0]
         for p in parts[1:]:
@@ -272,18 +315,24 @@ def q_random_search(spark, d):
         return metrics.fold_mean(allp, LOG, "prediction", "fold").first()["mean_fold_rmse"]
 
     results = tune.run_trials(trials, score, parallelism=3)
+    best = min(results, key=lambda x: (x[1], x[0]["trial"]))[0]
+    every = encode.target_encode_oof(df, cats, LOG, "fold", smoothing=best["smoothing"], suffix="_te")
+    every = cut_lineage(models.assemble(fill(every, impute.exact_quantiles(df, nums, 0.5)), feats).select(LOG, "features"))
+    refit = forest(every, best)
+    rmse = _score(refit, every, "refit").first()["rmse"]
     rows = [(int(t["trial"]), t["n_trees"], t["max_depth"], t["min_leaf"], t["smoothing"], float(s)) for t, s in results]
-    return spark.createDataFrame(
+    out = spark.createDataFrame(
         rows, "trial int, n_trees double, max_depth double, min_leaf double, smoothing double, mean_fold_rmse double"
     )
+    mine = F.col("trial") == int(best["trial"])
+    return out.withColumns({"refit_trees": F.when(mine, F.lit(refit.getNumTrees)), "refit_rmse": F.when(mine, F.lit(rmse))})
 
 
 def q_successive_halving(spark, d):
     """T4: prune trials early — all trials on fold 0 with few trees, the best third go on with more."""
-    df, _ = model_frame(spark, d)
     space = {"max_depth": ("int", 3, 10), "min_leaf": ("int", 1, 30)}
     trials = [r.asDict() for r in tune.sample_trials(spark, space, 9, SEED).collect()]
-    train, valid = df.filter(F.col("fold") != 0), df.filter(F.col("fold") == 0)
+    train, valid = map(cut_lineage, fold_frames(spark, d, k=1)[0])
 
     def score_at(t, budget):
         m = models.fit_forest(train, LOG, n_trees=int(budget), max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
@@ -305,8 +354,7 @@ def _fitters():
 
 
 def ml_oof(spark, d) -> DataFrame:
-    df, _ = model_frame(spark, d)
-    return ensemble.oof_predictions(df, KEY, "fold", _fitters(), 5, label=LOG)
+    return ensemble.oof_predictions(fold_frames(spark, d), KEY, "fold", _fitters(), label=LOG)
 
 
 def q_oof_model_scores(spark, d):
@@ -345,7 +393,7 @@ def q_model_store(spark, d):
     cats, nums = columns_by_type(df, exclude=RESERVED)
     from pyspark.ml.regression import LinearRegression
 
-    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, regParam=0.0, solver="normal"))
+    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, regParam=0.0, solver="l-bfgs"))
     m = pipe.fit(df.filter(~F.col("is_valid")))
     path = scratch_path(spark, "model")
     models.save_model(m, path)

@@ -429,6 +429,17 @@ d AS (SELECT o_orderkey, Equipment_Weight, Equipment_Value FROM lab WHERE Equipm
 fit AS (SELECT regr_slope(Equipment_Weight, Equipment_Value) AS b, regr_intercept(Equipment_Weight, Equipment_Value) AS a
         FROM d)""") + """
 SELECT o_orderkey, coalesce(Equipment_Weight, a + b * Equipment_Value) AS Equipment_Weight FROM d CROSS JOIN fit"""
+    q["ols_one_feature"] = _w(RAW) + """
+SELECT regr_slope(Transport_Cost_Log, Equipment_Value) AS slope, regr_intercept(Transport_Cost_Log, Equipment_Value) AS intercept
+FROM lablog WHERE Equipment_Value IS NOT NULL"""
+    q["iterative_impute_two_predictors"] = _w(RAW, """
+m AS (SELECT avg(Equipment_Value) AS mv, avg(Equipment_Width) AS mw FROM lab),
+d AS (SELECT o_orderkey, Supplier_Reliability AS y, Equipment_Value AS u, Equipment_Width AS v FROM lab
+      WHERE Equipment_Value IS NOT NULL AND Equipment_Width IS NOT NULL),
+f AS (SELECT regr_sxx(y, u) AS suu, regr_sxx(y, v) AS svv, regr_sxy(y, u) AS syu, regr_sxy(y, v) AS syv,
+             covar_pop(u, v) * count(*) AS suv, avg(y) AS ym, avg(u) AS um, avg(v) AS vm FROM d WHERE y IS NOT NULL),
+w AS (SELECT *, (syu * svv - syv * suv) / (suu * svv - suv * suv) AS bu, (syv * suu - syu * suv) / (suu * svv - suv * suv) AS bv FROM f)""") + """
+SELECT o_orderkey, coalesce(y, ym + bu * (u - um) + bv * (v - vm)) AS Supplier_Reliability FROM d CROSS JOIN w"""
     bp = _w(RAW, ENG, BASE_PREDS)
     q["model_scores"] = bp + """
 SELECT model, count(y - pred) AS n, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae,
@@ -445,7 +456,9 @@ SELECT model, avg(r) AS mean_fold_rmse, stddev_samp(r) AS std_fold_rmse FROM (
   SELECT model, fold, sqrt(avg((y - pred) * (y - pred))) AS r FROM preds GROUP BY model, fold) t GROUP BY model"""
     q["residuals"] = bp + "\nSELECT o_orderkey, model, pred, y - pred AS residual FROM preds"
     q["align_predictions"] = bp + "\nSELECT o_orderkey, group_mean, line, mean FROM wide"
-    q["alignment_gaps"] = bp + "\nSELECT o_orderkey, count(DISTINCT model) AS n_models FROM preds GROUP BY 1 HAVING count(DISTINCT model) <> 3"
+    q["alignment_gaps"] = bp + """
+SELECT o_orderkey, count(DISTINCT model) AS n_models FROM preds
+WHERE NOT (model = 'line' AND substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 1) = '0') GROUP BY 1 HAVING count(DISTINCT model) <> 3"""
     q["simple_average"] = bp + "\nSELECT o_orderkey, avg(pred) AS pred, first(y) AS y FROM preds GROUP BY 1"
     bw = _w(RAW, ENG, BASE_PREDS + INV_W)
     q["normalise_weights"] = bw + "\nSELECT model, weight FROM wts"
@@ -478,7 +491,7 @@ FROM preds GROUP BY model"""
     q["weight_search"] = bp + f""",
 eg AS (SELECT {egram}, count(*) AS n FROM wide w),
 tr AS (SELECT trial, {', '.join(f'u_{m} / ({tot}) AS w_{m}' for m in models)}
-       FROM (SELECT range AS trial, {wcols} FROM range(500)) u),
+       FROM (SELECT range AS trial, {wcols} FROM range(3000)) u),
 sc AS (SELECT trial, {', '.join(f'w_{m}' for m in models)}, sqrt(({quad}) / n) AS rmse FROM tr CROSS JOIN eg)
 SELECT trial, {', '.join(f'w_{m} AS {m}' for m in models)}, rmse FROM sc ORDER BY rmse, trial LIMIT 1"""
     sets = {

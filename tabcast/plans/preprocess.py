@@ -61,7 +61,7 @@ def preprocess(
     test_raw: DataFrame,
     key: str,
     target: str,
-    fit_on: str = "union",
+    fit_on: str = "train",
     impute: bool = True,
     max_iter: int = 10,
 ) -> Preprocessed:

@@ -82,32 +82,12 @@ def _mmddyy(d: Column) -> Column:
     return F.concat(two(F.month(d)), F.lit("/"), two(F.dayofmonth(d)), F.lit("/"), two(F.year(d) % 100))
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
-
-
 def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw input table, built once per session and written to the shared checkpoint folder.
-
-    The reference reads its raw file once; likewise every query here scans this written table
-    (column pruning and filters reach the Parquet scan) instead of re-running the six-table
-    join for each aggregate of its plan.
-    """
-    import os
-
-    from tabcast.session import scratch_path
-
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = scratch_path(spark, "raw-shipments")
-        build_raw_shipments(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
-
-
-def build_raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in raw input: one row per order (key ``o_orderkey``), reference column names.
 
+    The plan is lazy: projections and filters reach the source scans. Callers that read it in many
+    passes write or persist what they use.
+
     Joins are left to Catalyst/AQE (sort-merge for the large sides; small dimension sides
     are broadcast by the optimizer only when their measured size is under the threshold).
     """

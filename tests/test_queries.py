@@ -28,6 +28,9 @@ FAST_EXACT = [
     "median_fill",
     "most_frequent",
     "iterative_impute_one_predictor",
+    "iterative_impute_two_predictors",
+    "ols_one_feature",
+    "alignment_gaps",
     "model_scores",
     "blend",
     "weight_search",

@@ -17,7 +17,7 @@ def test_stream_scoring_equals_batch(spark):
     df = engineered(spark, SF_SMALL).withColumn("is_valid", split.holdout_flag(KEY, 0.2, 42))
     cats, nums = columns_by_type(df, exclude=(KEY, "Transport_Cost", LOG, "Target_Shift_Value",
                                               "Hospital_Location", "Supplier_Name"))
-    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, solver="normal"))
+    pipe = models.dtype_dispatch(nums, cats, LinearRegression(labelCol=LOG, solver="l-bfgs"))
     m = pipe.fit(df.filter(~F.col("is_valid")))
     base = tempfile.mkdtemp(prefix="tabcast-stream-", dir="/tmp")
     models.save_model(m, f"{base}/model")
@@ -38,3 +38,20 @@ def test_model_store_roundtrip(spark):
 
     r = q_model_store(spark, SF_SMALL).withColumn("d", F.abs(F.col("pred_before") - F.col("pred_after")))
     assert r.count() > 0 and r.agg(F.max("d")).first()[0] == 0.0
+
+
+def test_prediction_store_needs_weighted_models(spark, tmp_path):
+    import pytest
+
+    from tabcast.sources import sinks
+
+    path = f"{tmp_path}/preds"
+    rows = [(1, "a", 2.0), (2, "a", 4.0), (1, "b", 1.0), (2, "b", 3.0)]
+    sinks.save_predictions(spark.createDataFrame(rows, "k long, model string, pred double"), path)
+    with pytest.raises(ValueError):
+        sinks.load_predictions(spark, path, "c")
+    with pytest.raises(ValueError):
+        sinks.weighted_predictions(spark, path, {"a": 0.5, "c": 0.5}, "k")
+    got = sinks.weighted_predictions(spark, path, {"a": 0.5, "b": 0.5, "c": 0.0}, "k")
+    assert {r["k"]: r["pred"] for r in got.collect()} == {1: 1.5, 2: 3.5}
+    assert {r["pred"] for r in sinks.weighted_predictions(spark, path, {"a": 0.0}, "k").collect()} == {0.0}
