@@ -330,10 +330,3 @@ def pca_variance(df: DataFrame, cols, threshold: float = 0.95, features_col: str
     table = df.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double")
     model = PCA(k=k, inputCol=features_col, outputCol="pca").fit(assembled)
     return k, table, model, assembled
-
-
-def smallest_k(cum_variances, threshold: float = 0.95) -> int:
-    for i, c in enumerate(cum_variances):
-        if c >= threshold - 1e-12:
-            return i + 1
-    return len(cum_variances)

@@ -37,10 +37,6 @@ def one_row_broadcast(agg_row: DataFrame) -> DataFrame:
     return F.broadcast(agg_row)
 
 
-def scalar_broadcast(df: DataFrame, agg_row: DataFrame) -> DataFrame:
-    """Attach every column of a one-row aggregate to each row (broadcast nested loop of 1 row)."""
-    return df.crossJoin(one_row_broadcast(agg_row))
-
 
 def align(preds: DataFrame, key: str, model_col: str = "model", value_col: str = "pred", models=None) -> DataFrame:
     """Put each model's prediction side by side per key (one shuffle: group by key, pivot model).

@@ -154,9 +154,6 @@ def importance_table(spark, model, names) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, value double, kind string")
 
 
-def predict(model, df: DataFrame, key: str, out: str = "pred") -> DataFrame:
-    return model.transform(df).select(key, F.col("prediction").alias(out))
-
 
 def dtype_dispatch(numeric, categorical, estimator=None, relative_error: float = 1e-4) -> Pipeline:
     """Numeric branch (median impute) + categorical branch (index, one-hot) → one vector.

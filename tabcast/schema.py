@@ -56,10 +56,6 @@ def existing(cols, df: DataFrame) -> list[str]:
     return [c for c in cols if c in have]
 
 
-def infer_spec(df: DataFrame, key: str, target: str | None = None, exclude: tuple[str, ...] = ()) -> FeatureSpec:
-    cats, nums = columns_by_type(df, exclude=(key, *(t for t in [target] if t), *exclude))
-    return FeatureSpec(key=key, categorical=tuple(cats), numeric=tuple(nums), target=target)
-
 
 def separate(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Key + features + target (no positional split: the key stays on every row)."""
