@@ -167,12 +167,14 @@ def iterative_impute(
     cur = cur.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(stats[f"{c}__mean"])) for c in incomplete})
     if checkpoint:
         cur = cut_lineage(cur)
-    cached = None  # the one generation kept in memory besides the one being made
+    cached = older = None  # at most two generations are kept in memory
     for _ in range(max_iter):
         cur = cur.withColumns({f"__prev_{c}": F.col(c) for c in incomplete})
         for c in incomplete:
             others = [o for o in cols if o != c]
-            G, xy, _, _ = gram(cur, others, c, where=F.col(f"__obs_{c}"))
+            G, xy, _, _ = gram(cur, others, c, where=F.col(f"__obs_{c}"))  # fills the cache of ``cur``
+            if older is not None:
+                older.unpersist()
             w = scaled_ridge_from_gram(G, xy, ridge)
             pred = F.lit(float(w[0]))
             for wi, o in zip(w[1:], others):
@@ -180,14 +182,15 @@ def iterative_impute(
             # Each update is cached, so later plans start from it instead of inlining every earlier
             # update, which would grow the expressions exponentially in the number of columns.
             nxt = cur.withColumn(c, F.when(F.col(f"__obs_{c}"), F.col(c)).otherwise(pred)).persist(StorageLevel.MEMORY_AND_DISK)
-            if cached is not None:
-                nxt.count()  # filled from the older generation, which may go now
-                cached.unpersist()
-            cur = cached = nxt
+            older, cached = cached, nxt
+            cur = nxt
         # infinity norm of the change matrix = largest row sum of |new − old|
         row_change = sum((F.abs(F.col(c) - F.col(f"__prev_{c}")) for c in incomplete), F.lit(0.0))
         change = cur.agg(F.max(row_change).alias("m")).first()["m"] or 0.0
         cur = cur.drop(*[f"__prev_{c}" for c in incomplete])
+        if older is not None:
+            older.unpersist()
+            older = None
         if checkpoint:
             cur = cut_lineage(cur)
             cached.unpersist()

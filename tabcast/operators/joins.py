@@ -1,8 +1,8 @@
 """Joins of a large keyed table with small fitted state.
 
 Fitted state (dictionaries, encodings, weights) is small *per category*, not per row, but
-its size still grows with cardinality. ``bounded_broadcast`` counts it first and only
-broadcasts under a row bound; above it the join stays a shuffle join (AQE may still
+its size still grows with cardinality. ``bounded_broadcast`` adds up its bytes first and only
+broadcasts under a bound; above it the join stays a shuffle join (AQE may still
 switch it at run time from measured sizes, and splits skewed partitions).
 """
 
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+#: Bytes of values, before the overhead of a hash table.
+DEFAULT_MAX_BROADCAST_BYTES = 32 << 20
 
 
 def materialise(small: DataFrame) -> DataFrame:
@@ -25,11 +26,13 @@ def materialise(small: DataFrame) -> DataFrame:
     return cut_lineage(small)
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise fitted state, then broadcast it only when it has at most ``max_rows`` rows;
+def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Materialise fitted state, then broadcast it only when its values take at most ``max_bytes``;
     above that the join stays a shuffle join."""
     small = materialise(small)
-    return F.broadcast(small) if small.count() <= max_rows else small
+    size = [F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in small.dtypes]
+    total = small.agg(F.sum(sum(size, F.lit(16)))).first()[0] or 0
+    return F.broadcast(small) if total <= max_bytes else small
 
 
 def one_row_broadcast(agg_row: DataFrame) -> DataFrame:
@@ -37,7 +40,6 @@ def one_row_broadcast(agg_row: DataFrame) -> DataFrame:
     return F.broadcast(agg_row)
 
 
-
 def align(preds: DataFrame, key: str, model_col: str = "model", value_col: str = "pred", models=None) -> DataFrame:
     """Put each model's prediction side by side per key (one shuffle: group by key, pivot model).
 
