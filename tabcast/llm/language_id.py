@@ -242,7 +242,8 @@ def training_runs(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -
     sizes = slim.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     # A hash between 0 and 1 keeps somewhat more than the rows wanted; a window over these few takes the exact number.
     draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / F.lit(1 << 30)
-    few = slim.join(sizes, "lang").withColumn("draw", draw).where(F.col("draw") * F.col("rows") <= 2 * rows_per_language)
+    # One row per language, and the tagger holds them all anyway.
+    few = slim.join(F.broadcast(sizes), "lang").withColumn("draw", draw).where(F.col("draw") * F.col("rows") <= 2 * rows_per_language)
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
     few = materialise(few.withColumn("turn", turn).where(F.col("turn") <= rows_per_language).select("doc_id").distinct(), "language-sample")
     # As many rows as languages times rows_per_language, at most.
