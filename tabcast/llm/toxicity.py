@@ -216,15 +216,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            seen = ({}, {})
-            for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
-                side = seen[1 if label else 0]
-                for t in terms_of(text or ""):
-                    side[t] = side.get(t, 0) + 1
-            rows = [(t, n, 0) for t, n in seen[1].items()] + [(t, 0, n) for t, n in seen[0].items()]
-            cols = list(zip(*rows)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["term", "n1", "n0"])
+        for whole in batches:
+            # A part of the batch at a time, as its terms are counted in memory.
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                seen = ({}, {})
+                for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
+                    side = seen[1 if label else 0]
+                    for t in terms_of(text or ""):
+                        side[t] = side.get(t, 0) + 1
+                rows = [(t, n, 0) for t, n in seen[1].items()] + [(t, 0, n) for t, n in seen[0].items()]
+                cols = list(zip(*rows)) or [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["term", "n1", "n0"])
 
     counts = sample.mapInArrow(count, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     counts = materialise(counts.where("n1 + n0 >= 3"), "toxicity-terms")
