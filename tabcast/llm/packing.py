@@ -23,7 +23,7 @@ from tabcast.llm.common import hash_bucket, materialise, split_rank
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Words whose ids a task keeps at hand; the memory of a task stays bounded at any vocabulary.
-WORDS_KEPT = 150_000
+WORDS_KEPT = 300_000
 
 _PIECES = (
     "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, row_key long"
@@ -66,7 +66,8 @@ class WordEncoder:
                 for part in self.split(w.lower()):
                     ids = self.parts.get(part)
                     if ids is None:
-                        spelt = "".join([self.spell[b] for b in part.encode()])
+                        # Printable ASCII is spelt as itself.
+                        spelt = part if part.isascii() and part.isprintable() else "".join([self.spell[b] for b in part.encode()])
                         ids = tuple([t.id for t in self.model.tokenize(spelt)])
                         if len(self.parts) >= WORDS_KEPT:
                             self.parts.clear()
