@@ -62,6 +62,7 @@ def mix(
     limit: int = 3,
     seed: int = 17,
     range_digits: int = 2,
+    row_col: str | None = None,
 ) -> DataFrame:
     """Per document: doc_id, source, size, weight, source_size, target, first_word, taken, epochs, part.
 
@@ -71,12 +72,14 @@ def mix(
     choose it so that the largest source's documents over that number fit a sort).
 
     Null text has size 0 and takes 0; a null source is a source of its own, the last one; null ids
-    are keyed as the empty string. Rows that repeat an id and size are interchangeable. An empty
-    table gives no rows. Extra columns are ignored.
+    are keyed as the empty string. Rows that repeat an id and size are interchangeable, unless
+    ``row_col`` names a key of the rows: it then decides between them and is a first column of the
+    result. An empty table gives no rows. Extra columns are ignored.
     """
     key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    nth = [F.col(row_col).alias("nth")] if row_col else []
     slim = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")
+        *nth, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")
     ).withColumn("range", F.substring("key", 1, range_digits))
     slim = materialise(slim, "mix-sizes")
     # The documents of a range count first, so that no more than a row per source and range moves.
@@ -86,7 +89,7 @@ def mix(
     starts = ranges.select("source", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("start"))
     plan = starts.alias("r").join(targets.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
     plan = materialise(plan.select("r.source", "r.range", "r.start", "t.source_size", "t.weight", "t.target"), "mix-plan")
-    inside = Window.partitionBy("source", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy("key", "size", *(["nth"] if row_col else [])).rowsBetween(Window.unboundedPreceding, -1)
     placed = slim.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     budget = F.round("target").cast("long")
     per = F.greatest(F.col("source_size"), F.lit(1))
@@ -96,6 +99,7 @@ def mix(
     out = out.withColumn("first_word", F.col("p.start") + F.col("d.inside"))
     part = F.greatest(F.lit(0), F.least(F.col("size"), budget - whole * F.col("source_size") - F.col("first_word")))
     return out.select(
+        *([F.col("nth").alias(row_col)] if row_col else []),
         "doc_id",
         F.col("d.source").alias("source"),
         "size",
@@ -113,12 +117,15 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **kw) -> DataFrame:
     """``docs`` as the mix takes them: each row once per whole epoch, then its leading ``part`` words.
 
     Rows that the mix does not take go; the columns stay. ``n_chars``, where there is one, follows
-    the text of a cut document. Documents need distinct ids here, as rows are matched by id.
+    the text of a cut document. Every row is taken by its own share: null ids stay, and rows that
+    repeat an id are documents each.
     """
-    m = mix(docs, seed=seed, **kw).where("taken > 0").select("doc_id", "size", "epochs", "part")
-    # The row travels as one value, so its columns may have any names.
-    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    out = d.join(m, F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")))
+    # The row travels as one value, so its columns may have any names; its key is written with it.
+    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("nth"))
+    d = materialise(d, "mix-rows")
+    keyed = d.select("nth", *(F.col("row")[c].alias(c) for c in ("doc_id", "text", "source")))
+    m = mix(keyed, seed=seed, row_col="nth", **kw).where("taken > 0").select("nth", "size", "epochs", "part")
+    out = d.join(m, "nth")
     # An entry is the number of words of that copy: the size for whole epochs, the part for the last one.
     copies = F.concat(
         F.array_repeat(F.col("size"), F.col("epochs").cast("int")),

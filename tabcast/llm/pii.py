@@ -205,17 +205,19 @@ def span_list(kinds: list[str]) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text, ...) with every entity replaced by its kind in brackets; the columns stay.
 
-    Overlapping entities are replaced together, by the kind of the first. Ids must be distinct.
-    ``n_chars``, where there is one, follows the text.
+    Overlapping entities are replaced together, by the kind of the first. Every row is cut at its own
+    spans: null ids stay, rows that repeat an id or a text are redacted each. ``n_chars``, where there
+    is one, follows the text.
     """
-    e = find_entities(docs)
+    # The row travels as one value, so its columns may have any names; its key is written with it.
+    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.monotonically_increasing_id().alias("nth"))
+    d = materialise(d, "pii-rows")
+    e = find_entities(d.select("nth", F.col("row")["text"].alias("text")), id_col="nth")
     kinds = [*KINDS, FOUND]
     tag = lambda x, k: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(k).alias("kind"))
     tagged = F.concat(*(_of_kind(F.transform, F.col(k), k, tag) for k in kinds))
-    e = e.select("doc_id", F.sort_array(tagged).alias("spans")).where(F.size("spans") > 0)
-    # The row travels as one value, so its columns may have any names.
-    d = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    out = d.join(e, F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")), "left")
+    e = e.select(F.col("doc_id").alias("nth"), F.sort_array(tagged).alias("spans")).where(F.size("spans") > 0)
+    out = d.join(e, "nth", "left")
     whole, clean = F.col("row")["text"], F.col("spans").isNull()
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
 

@@ -148,6 +148,23 @@ def test_mixed_documents_hold_the_words_taken(spark, corpus):
     assert words == {i: n for i, n in taken.items() if n}
 
 
+def test_mixed_documents_take_rows_without_an_id_each(spark):
+    r, words = random.Random(9), _vocabulary(200)
+    rows = [(None, " ".join(r.choices(words, k=20 + i % 3)), f"s{i % 2}") for i in range(30)]
+    rows += [(7, " ".join(r.choices(words, k=25)), "s0") for _ in range(4)] + [(8, "same text", "s1")] * 3 + [(None, None, None)]
+    docs = spark.createDataFrame(_rows(rows), DOCS)
+    total = sum(x["taken"] for x in mixing.mix(docs).collect())
+    out = mixing.mixed_documents(docs)
+    assert out.dtypes == docs.dtypes
+    got = out.collect()
+    assert sum(len(x["text"].split()) for x in got) == total
+    # Every text is a whole one or the beginning of one, and none comes more often than a source is repeated at most.
+    texts = [t for _, t, _ in rows if t]
+    assert all(any(t.startswith(x["text"]) for t in texts) for x in got)
+    assert all(sum(t.startswith(x["text"]) for x in got) <= 3 * texts.count(t) for t in texts)
+    assert all(x["n_chars"] == len(x["text"]) for x in got)
+
+
 def test_packing_covers_every_id_once(spark, corpus):
     from tokenizers import Tokenizer
 
@@ -216,6 +233,17 @@ def test_pii_base_spans_and_contexts(spark):
     assert texts[6] == "reach her at [EMAIL] today" and texts[14] == "you can reach her at [ID], or not" and texts[15] == odd[15]
 
 
+def test_redact_cuts_each_row_at_its_own_spans(spark):
+    rows = [(None, f"{'x' * i} mail p{i}@mail.org now", "s") for i in range(6)] + [(None, f"clean text number {i}", "s") for i in range(4)]
+    rows += [(7, "call +49 30 1234567 today", "s"), (7, "nothing in here at all", "s"), (7, "or p@q.org", "s"), (8, "a p@q.org", "s"), (8, "a p@q.org", "s"), (None, None, "s")]
+    want = [re.sub(r"\S+@\S+", "[EMAIL]", t).replace("+49 30 1234567", "[PHONE]") if t else None for _, t, _ in rows]
+    docs = spark.createDataFrame(_rows(rows), DOCS)
+    out = pii.redact(docs)
+    assert out.dtypes == docs.dtypes
+    key = lambda x: (x[0] or -1, x[1] or "")
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=key) == sorted(((i, w) for (i, _, _), w in zip(rows, want)), key=key)
+
+
 def _labelled():
     r, words, out, labels = random.Random(2), _vocabulary(300), [], []
     for i in range(160):
