@@ -1,10 +1,11 @@
 """Toxicity by the nearest labelled examples.
 
-A bounded sample of labelled texts gives the terms (words, and beginnings of long words) that tell
-toxic from clean texts apart, and the examples. Document frequencies are counted over all documents.
-Every text becomes a TF-IDF vector over these terms; its nearest examples by exact cosine are
-found in a block-max inverted index, and their votes, weighted by nearness and calibrated on the
-examples themselves, give the score. The neighbours are the evidence.
+A bounded sample of labelled texts gives the examples and their whole vocabulary (words, and
+beginnings of long words that lean beyond chance). Document frequencies are counted over all
+documents. Every text becomes a TF-IDF vector over this vocabulary, in which a term weighs the more
+the more it leans to toxic or to clean examples, and none weighs nothing; its nearest examples by
+exact cosine are found in a block-max inverted index, and their votes, weighted by nearness and
+calibrated on the examples themselves, give the score. The neighbours are the evidence.
 """
 
 from __future__ import annotations
@@ -21,15 +22,16 @@ from tabcast.llm.common import materialise
 
 #: At most so many labelled rows, those of smallest hash, are examples.
 MAX_EXAMPLES = 16_000
-#: At most so many terms, the most telling ones.
-MAX_TERMS = 20_000
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.7
 #: Lengths of the word beginnings that are terms beside whole words.
 BEGINS = (5, 7)
-#: A term's share of toxic texts among those that hold it, at least; and the vote of no neighbour at all.
-PRECISION = 0.75
+#: A term in this share of the examples is kept as a column of the blocks instead of a posting list.
+COMMON = 0.1
+#: Texts that are searched for together.
+TOGETHER = 64
+#: The vote of no neighbour at all.
 NO_VOTE = 0.2
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -44,110 +46,173 @@ def terms_of(text: str) -> Counter:
 
 
 class Terms:
-    """The chosen terms of a text, without counting all others."""
+    """The terms of a text that are in the vocabulary, without counting all others."""
 
     def __init__(self, terms: dict[str, int]):
         self.whole = {t: i for t, i in terms.items() if not t.endswith("*")}
         self.begins = {k: {t[:k]: i for t, i in terms.items() if t.endswith("*") and len(t) == k + 1} for k in BEGINS}
 
-    def __call__(self, text: str) -> dict[int, int]:
-        words = _words(text.lower())
-        whole = self.whole
-        found = [whole[w] for w in words if w in whole]
-        for k, begin in self.begins.items():
-            if begin:
-                found += [begin[b] for b in [w[:k] for w in words if len(w) > k] if b in begin]
-        return Counter(found)
-
-
-def telling(n1: int, n0: int, all1: int, all0: int) -> float:
-    """Log-likelihood ratio of a term that is in n1 of all1 toxic and n0 of all0 clean texts; 0 if it leans to clean."""
-    if n1 * all0 <= n0 * all1:
-        return 0.0
-    p, total = (n1 + n0) / (all1 + all0), 0.0
+    def __call__(self, text: str) -> tuple:
+        """(numbers of the terms, their counts), two arrays, by number."""
+        import numpy as np
+
+        found, counts = [], []
+        for w, n in Counter(_words(text.lower())).items():
+            if w in self.whole:
+                found.append(self.whole[w])
+                counts.append(n)
+            for k, begin in self.begins.items():
+                if len(w) > k and w[:k] in begin:
+                    found.append(begin[w[:k]])
+                    counts.append(n)
+        terms, at = np.unique(np.array(found, dtype=np.int64), return_inverse=True)
+        return terms, np.bincount(at, counts, minlength=len(terms))
+
+
+def leans(n1, n0, all1: int, all0: int):
+    """Log-likelihood ratios of terms that are in n1 of all1 toxic and n0 of all0 clean texts, whichever they lean to."""
+    import numpy as np
+
+    n1, n0 = np.asarray(n1, dtype=float), np.asarray(n0, dtype=float)
+    p, total = (n1 + n0) / max(all1 + all0, 1), np.zeros(len(n1))
     for n, of in ((n1, all1), (n0, all0)):
         for k, q in ((n, p), (of - n, 1 - p)):
-            if k:
-                total += 2 * k * math.log(k / (of * q))
-    return total
+            some = k > 0
+            total[some] += 2 * k[some] * np.log(k[some] / (of * q[some]))
+    return np.maximum(total, 0.0)
+
+
+def _pair(vector) -> tuple:
+    """A vector as the arrays of its terms and weights."""
+    import numpy as np
+
+    if not isinstance(vector, dict):
+        return vector
+    return np.fromiter(vector.keys(), dtype=np.int64, count=len(vector)), np.fromiter(vector.values(), dtype=float, count=len(vector))
+
+
+def _at_least(score, blocks: int, k: int):
+    """For each row a number that k entries reach, from the largest of each block; and these largest."""
+    import numpy as np
+
+    most = score.reshape(len(score), blocks, -1).max(axis=2)
+    return (np.partition(most, blocks - k, axis=1)[:, blocks - k] if blocks >= k else np.full(len(score), -np.inf)), most
 
 
 class BlockMaxIndex:
-    """Examples as unit TF-IDF vectors, in blocks; for every term the largest weight in each block.
+    """Examples as unit vectors, in blocks; postings of the rarer terms, and the common terms as columns of each block.
 
-    ``nearest`` bounds each block's best cosine by its term maxima, visits blocks from the largest
-    bound on and stops when the next bound is below the k-th best found, so its result is exact.
+    ``nearest`` sums the rarer terms' products for every example and bounds each block's best cosine
+    by the largest of these sums and the block's maxima of the common terms. Blocks whose bound is
+    below what k examples reach are left out, the others are summed in full, so its result is exact.
     """
 
-    def __init__(self, vectors: list[dict[int, float]], ids: list[int], block: int = BLOCK):
+    def __init__(self, vectors: list, ids: list[int], block: int = BLOCK):
         import numpy as np
 
-        # Examples that share their strongest term lie together, so the blocks' bounds are tight.
-        order = sorted(range(len(ids)), key=lambda i: (max(vectors[i].items(), key=lambda x: (x[1], x[0]))[0], ids[i]))
-        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
-        self.row = np.array(order, dtype=np.int64)
+        vectors = [_pair(v) for v in vectors]
         self.block, self.blocks = block, -(-len(ids) // block)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for at, i in enumerate(order):
-            for t, w in vectors[i].items():
-                postings.setdefault(t, []).append((at, w))
-        self.postings, self.most = {}, {}
-        for t, p in postings.items():
-            at, w = np.array([x[0] for x in p]), np.array([x[1] for x in p])
-            in_block = at // block
-            first = np.flatnonzero(np.concatenate([[True], in_block[1:] != in_block[:-1]]))
-            self.postings[t] = (at, w, dict(zip(in_block[first].tolist(), zip(first.tolist(), [*first[1:].tolist(), len(at)]))))
-            self.most[t] = (in_block[first], np.maximum.reduceat(w, first))
-
-    def nearest(self, query: dict[int, float], k: int = NEIGHBOURS, but: int = -1) -> list[tuple[int, float]]:
+        size = np.array([len(t) for t, _ in vectors], dtype=np.int64)
+        term, weight = np.concatenate([t for t, _ in vectors]).astype(np.int32), np.concatenate([w for _, w in vectors])
+        # Examples that share their strongest term lie together, so the blocks' bounds are tight.
+        strongest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
+        self.row = np.array(sorted(range(len(ids)), key=lambda i: (strongest[i], ids[i])), dtype=np.int64)
+        self.ids = np.array([ids[i] for i in self.row], dtype=np.int64)
+        self.place = np.empty(len(ids), dtype=np.int64)
+        self.place[self.row] = np.arange(len(ids))
+        at = np.repeat(self.place, size).astype(np.int32)
+        df = np.bincount(term)
+        common = np.flatnonzero(df > max(COMMON * len(ids), 1))
+        self.column = np.full(len(df), -1, dtype=np.int32)
+        self.column[common] = np.arange(len(common))
+        column = self.column[term]
+        dense = np.zeros((self.blocks * block, len(common)))
+        dense[at[column >= 0], column[column >= 0]] = weight[column >= 0]
+        self.dense = dense.reshape(self.blocks, block, len(common))
+        self.most = self.dense.max(axis=1)
+        rare = np.flatnonzero(column < 0)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.at, self.weight, term = at[rare], weight[rare], term[rare]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(df)))])
+
+    def nearest(self, query, k: int = NEIGHBOURS, but: int = -1) -> list[tuple[int, float]]:
         """The k (example row, cosine) of largest cosine above 0, ties to smaller ids; ``but`` is left out."""
+        return self.nearest_of([query], k, [but])[0]
+
+    def nearest_of(self, queries: list, k: int = NEIGHBOURS, buts: list[int] | None = None) -> list[list[tuple[int, float]]]:
+        """``nearest`` of each query; a query is a dict of weights or the arrays of its terms and weights."""
         import numpy as np
 
-        bound = np.zeros(self.blocks)
-        terms = [(t, w) for t, w in query.items() if t in self.postings]
-        for t, w in terms:
-            blocks, most = self.most[t]
-            bound[blocks] += w * most
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) >= k and bound[b] < best[-1][0] * -1 - 1e-12:
-                break
-            score = np.zeros(self.block)
-            for t, w in terms:
-                at, weight, parts = self.postings[t]
-                if b in parts:
-                    lo, hi = parts[b]
-                    score[at[lo:hi] - b * self.block] += w * weight[lo:hi]
-            for x in np.flatnonzero(score > 0).tolist():
-                i = b * self.block + x
-                if self.row[i] != but:
-                    best.append((-float(score[x]), int(self.ids[i]), int(self.row[i])))
-            best = sorted(best)[:k]
-        return [(row, -s) for s, _, row in best]
+        n, found = len(self.ids), []
+        for first in range(0, len(queries), TOGETHER):
+            part = queries[first : first + TOGETHER]
+            score = np.zeros((len(part), self.blocks * self.block))
+            common = np.zeros((len(part), self.dense.shape[2]))
+            for q, query in enumerate(part):
+                term, w = _pair(query)
+                known = term < len(self.column)
+                term, w = term[known], w[known]
+                column = self.column[term]
+                common[q, column[column >= 0]] = w[column >= 0]
+                term, w = term[column < 0], w[column < 0]
+                lo = self.begin[term]
+                size = self.begin[term + 1] - lo
+                # The places of all postings of the query's terms, one list after the other.
+                place = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+                score[q] = np.bincount(self.at[place], self.weight[place] * np.repeat(w, size), minlength=score.shape[1])
+            score[:, n:] = -np.inf
+            if buts is not None:
+                for q, but in enumerate(buts[first : first + TOGETHER]):
+                    if but >= 0:
+                        score[q, self.place[but]] = -np.inf
+            least, most = _at_least(score, self.blocks, k)
+            bound = most + common @ self.most.T
+            for b, visit in enumerate((bound >= least[:, None] - 1e-9).T):
+                if visit.any():
+                    score[visit, b * self.block : (b + 1) * self.block] += common[visit] @ self.dense[b].T
+            least, _ = _at_least(score, self.blocks, k)
+            for q in range(len(part)):
+                best = np.flatnonzero(score[q, :n] >= max(least[q] - 1e-9, 1e-12))
+                # Equal vectors may differ in the last digits of their sums.
+                best = best[np.lexsort((self.ids[best], -score[q, best].round(12)))[:k]]
+                found.append([(int(self.row[i]), float(score[q, i])) for i in best])
+        return found
 
 
 class Scorer:
-    """Terms, inverse document frequencies, index and calibration; fitted once, sent to the tasks."""
-
-    def __init__(self, terms: list[str], document_frequency: list[int], documents: int, examples: list[tuple[int, int, dict[int, int]]]):
-        self.terms = Terms({t: i for i, t in enumerate(terms)})
-        self.idf = [math.log(1 + documents / (1 + df)) for df in document_frequency]
-        known = [(i, y, self.vector(c)) for i, y, c in examples]
-        bare = [y for _, y, v in known if not v]
-        known = [x for x in known if x[2]]
-        #: Score of a text without any of the terms: the share of toxic texts among such examples.
+    """Terms, their weights, index and calibration; fitted once, sent to the tasks."""
+
+    def __init__(self, terms: Terms, document_frequency, documents: int, leaning, ids: list[int], labels: list[int], vectors: tuple):
+        """``vectors`` are the examples' (numbers of terms, all terms, all counts), the latter two one example after the
+        other and each as ``Terms`` gives them; ``leaning`` are the terms' ``leans``."""
+        import numpy as np
+
+        self.terms = terms
+        # The root of a log-likelihood ratio is the lean in standard deviations.
+        self.weights = np.log(1 + documents / (1 + np.asarray(document_frequency))) * (1 + np.sqrt(leaning))
+        sizes, flat, counts = vectors
+        ends = np.cumsum(sizes).tolist()
+        known = [(flat[z - n : z], counts[z - n : z]) for n, z in zip(sizes, ends)]
+        bare = [y for y, (t, _) in zip(labels, known) if not len(t)]
+        #: Score of a text without any word of the vocabulary: the share of toxic texts among such examples.
         self.bare = (sum(bare) + 0.02) / (len(bare) + 2)
-        self.ids, self.labels = [x[0] for x in known], [x[1] for x in known]
-        self.index = BlockMaxIndex([x[2] for x in known], self.ids) if known else None
+        keep = [i for i, (t, _) in enumerate(known) if len(t)]
+        self.ids, self.labels = [ids[i] for i in keep], [labels[i] for i in keep]
+        known = [self.vector(*known[i]) for i in keep]
+        self.index = BlockMaxIndex(known, self.ids) if known else None
         self.slope, self.shift = 8.0, -4.0
         if known:
-            raw = [self.vote(self.index.nearest(v, but=i)) for i, (_, _, v) in enumerate(known)]
-            self.slope, self.shift = _sigmoid_fit(raw, self.labels)
+            votes = []
+            for i in range(0, len(known), TOGETHER):
+                part = known[i : i + TOGETHER]
+                votes += [self.vote(x) for x in self.index.nearest_of(part, buts=list(range(i, i + len(part))))]
+            self.slope, self.shift = _sigmoid_fit(votes, self.labels)
+
+    def vector(self, terms, counts) -> tuple:
+        import numpy as np
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in v.values()))
-        return {t: w / norm for t, w in v.items()} if norm else {}
+        w = (1 + np.log(counts)) * self.weights[terms]
+        return terms, w / max(math.sqrt(w @ w), 1e-300)
 
     def vote(self, nearest: list[tuple[int, float]]) -> float:
         """Share of the toxic among the nearest, each weighing its cosine squared over its distance; far ones leave it near 0."""
@@ -158,14 +223,17 @@ class Scorer:
             toxic += w * self.labels[row]
         return toxic / total
 
-    def score(self, text: str) -> tuple[float, list[tuple[int, float, int]]]:
-        """(score, evidence): evidence holds (example id, cosine, label) of the nearest examples."""
-        v = self.vector(self.terms(text)) if self.index else {}
-        near = self.index.nearest(v) if v else []
-        if not near:
-            return self.bare, []
-        z = self.slope * self.vote(near) + self.shift
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, z)))), [(self.ids[r], c, self.labels[r]) for r, c in near]
+    def score(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        """(score, evidence) of each text: evidence holds (example id, cosine, label) of the nearest examples."""
+        if not self.index:
+            return [(self.bare, []) for _ in texts]
+        out = []
+        for at in range(0, len(texts), TOGETHER):
+            for near in self.index.nearest_of([self.vector(*self.terms(t)) for t in texts[at : at + TOGETHER]]):
+                z = self.slope * self.vote(near) + self.shift
+                score = 1 / (1 + math.exp(-max(-50.0, min(50.0, z)))) if near else self.bare
+                out.append((score, [(self.ids[r], c, self.labels[r]) for r, c in near]))
+        return out
 
 
 def _sigmoid_fit(raw: list[float], labels: list[int], rounds: int = 60) -> tuple[float, float]:
@@ -188,19 +256,24 @@ def _sigmoid_fit(raw: list[float], labels: list[int], rounds: int = 60) -> tuple
     return max(float(w[0]), 0.1), float(w[1])
 
 
-def choose_terms(counts: list[tuple[str, int, int]], all1: int, all0: int, tested: int) -> list[str]:
-    """Terms whose lean to toxic texts is beyond chance among so many ``tested`` terms, most telling first."""
-    least = 2 * math.log(max(tested, 2)) + 4
-    scored = [(telling(n1, n0, all1, all0), t) for t, n1, n0 in counts if n1 >= PRECISION * (n1 + n0 + 1)]
-    return [t for s, t in sorted(((s, t) for s, t in scored if s >= least), key=lambda x: (-x[0], x[1]))[:MAX_TERMS]]
+def choose_terms(terms, leaning, tested: int):
+    """Which of ``terms`` (an Arrow array) are the vocabulary: all words, and the beginnings whose lean is beyond chance among so many ``tested`` terms."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    words = ~pc.ends_with(terms, "*").to_numpy(zero_copy_only=False)
+    return np.flatnonzero(words | (leaning >= 2 * math.log(max(tested, 2)) + 4))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) -> Scorer:
     """A scorer from ``labels`` (doc_id, label 0 or 1), whose texts are among ``docs`` (doc_id, text).
 
     The ``max_examples`` labelled ids of smallest hash are the examples (all of them, if fewer); ids
-    labelled in two ways take the larger label, and copies of a text are one example. Document frequencies are those of all ``docs``.
+    labelled in two ways take the larger label, and copies of a text are one example. The vocabulary
+    are all words of the examples, which the driver and every task hold. Document frequencies are those of all ``docs``.
     """
+    import numpy as np
+
     spark = docs.sparkSession
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
@@ -230,54 +303,62 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES) ->
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["term", "n1", "n0"])
 
     counts = sample.mapInArrow(count, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    counts = materialise(counts.where("n1 + n0 >= 3"), "toxicity-terms")
+    # A beginning in fewer texts cannot lean beyond chance; words stay however rare.
+    counts = materialise(counts.where("n1 + n0 >= 3 OR NOT endswith(term, '*')"), "toxicity-terms")
     sides = {r["label"]: r["n"] for r in sample.groupBy((F.col("label") > 0).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    all1, all0, tested = sides.get(1, 0), sides.get(0, 0), counts.count()
-    # Of the sample's terms, those that may pass; their number is bounded by the sample's words and then by MAX_TERMS.
-    likely = counts.where(F.col("n1") * all0 > 2 * F.col("n0") * all1).orderBy(F.desc(F.col("n1") - F.col("n0") * (all1 / max(all0, 1))), "term").limit(4 * MAX_TERMS)
-    terms = choose_terms([(r["term"], r["n1"], r["n0"]) for r in likely.collect()], all1, all0, tested)
-    find = Terms({t: i for i, t in enumerate(terms)})
+    all1, all0, tested = sides.get(1, 0), sides.get(0, 0), counts.where("n1 + n0 >= 3").count()
+    # The sample's terms: their number is bounded by the sample's words.
+    words = counts.toArrow().sort_by("term")
+    leaning = leans(words["n1"].to_numpy(), words["n0"].to_numpy(), all1, all0)
+    words = words["term"].combine_chunks()
+    chosen = choose_terms(words, leaning, tested)
+    leaning, size = leaning[chosen], len(chosen)
+    find = Terms({t: i for i, t in enumerate(words.take(chosen).to_pylist())})
+    del words, chosen
+    shared = spark.sparkContext.broadcast(find)
 
     def frequency(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
-        df: Counter = Counter()
+        df, n = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
             for text in batch["text"].to_pylist():
-                df.update(find(text or "").keys())
-                df[-1] += 1
-        rows = list(df.items())
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["term", "n"])
+                df[shared.value(text or "")[0]] += 1
+                n += 1
+        seen = np.flatnonzero(df)
+        cols = (np.append(seen, -1), np.append(df[seen], n))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["term", "n"])
 
     def vectors(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
         for batch in batches:
             rows = []
             for i, text, label in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), batch["label"].to_pylist()):
-                c = find(text or "")
-                rows.append((i, 1 if label else 0, list(c), list(c.values())))
+                t, n = shared.value(text or "")
+                rows.append((i, 1 if label else 0, t.astype("<i4").tobytes(), n.astype("<i4").tobytes()))
             cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "label", "terms", "counts"])
 
-    df = docs.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r["term"]: r["n"] for r in df.collect()}  # a row per chosen term
-    examples = sample.select("doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label long, terms array<long>, counts array<long>")
-    # A bounded number of examples, each with its chosen terms only.
-    rows = examples.orderBy("doc_id").collect()
-    return Scorer(
-        terms,
-        [df.get(i, 0) for i in range(len(terms))],
-        df.get(-1, 0),
-        [(r["doc_id"], r["label"], dict(zip(r["terms"], r["counts"]))) for r in rows],
-    )
+    counted = docs.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(size + 1, dtype=np.int64)  # the last one for the number of documents
+    df[counted["term"].to_numpy()] = counted["n"].to_numpy()
+    examples = sample.select("doc_id", "label", "text").mapInArrow(vectors, "doc_id long, label long, terms binary, counts binary")
+    # A bounded number of examples, as numbers.
+    rows = examples.toArrow().sort_by("doc_id")
+    sizes = [len(x) // 4 for x in rows["terms"].to_pylist()]
+    flat = [np.frombuffer(b"".join(rows[c].to_pylist()), "<i4") for c in ("terms", "counts")]
+    ids, labels = rows["doc_id"].to_pylist(), rows["label"].to_pylist()
+    del rows, counted
+    return Scorer(find, df[:size], int(df[size]), leaning, ids, labels, (sizes, *flat))
 
 
 def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with columns score, predicted and evidence (example_id, cosine, label of the nearest examples).
 
-    Null and empty texts have the score of texts without any telling term. Repeated rows are scored
+    Null and empty texts have the score of texts without any word of the vocabulary. Repeated rows are scored
     each; rows with null ids too. An empty table gives no rows. All other columns stay; columns
     named like the three new ones are replaced. Without labels every score is that of no evidence.
     """
@@ -288,7 +369,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
     def scores(texts):
         import pandas as pd
 
-        rows = [shared.value.score(t or "") for t in texts]
+        rows = shared.value.score([t or "" for t in texts])
         return pd.DataFrame(
             {
                 "score": [s for s, _ in rows],

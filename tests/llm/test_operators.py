@@ -274,6 +274,21 @@ def test_toxicity_finds_held_out_texts(spark):
     assert toxicity.score(docs.where("false"), scorer).count() == 0
 
 
+def test_toxicity_searches_clean_examples_for_every_text(spark):
+    """A toxic manner of few examples, whose words are too rare each to lean beyond chance, is found by its neighbours."""
+    r, words = random.Random(6), _vocabulary(300)
+    rows = [(i, " ".join(r.choices(words, k=40)), "s") for i in range(120)]
+    manner = ["".join(r.choices("mnopqr", k=6)) for _ in range(60)]
+    rows += [(i, " ".join(r.choices(manner, k=12) + r.choices(words, k=30)), "s") for i in range(120, 150)]
+    labels = [(i, int(i >= 120)) for i in range(150)]
+    docs = spark.createDataFrame(_rows(rows), DOCS)
+    scorer = toxicity.fit(docs.select("doc_id", "text"), spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, label int"))
+    assert len(scorer.ids) == 100 and sum(scorer.labels) == 20
+    got = {x["doc_id"]: x for x in toxicity.score(docs, scorer).collect()}
+    assert all(len(x["evidence"]) == toxicity.NEIGHBOURS for x in got.values())
+    assert {i: got[i]["predicted"] for i, _ in labels if i % 3 == 0} == {i: y for i, y in labels if i % 3 == 0}
+
+
 def test_block_max_index_is_exact():
     r = random.Random(4)
     vectors = []
