@@ -75,8 +75,17 @@ def _codebook(x, codes: int, rounds: int = 12):
     return c
 
 
+def effective_rank(x) -> float:
+    """In how many directions the rows of ``x`` spread: the number of equal eigenvalues that would have the same sum and sum of squares."""
+    import numpy as np
+
+    c = x.T @ x
+    squares = (c * c).sum()
+    return float(np.trace(c) ** 2 / squares) if squares > 0 else 1.0
+
+
 def fit_codebooks(vectors: DataFrame, kind: str, sample: int = SAMPLE, codes: int = CODES) -> dict[int, tuple]:
-    """Codebooks of the first and the second half, for each length in bytes in the sample."""
+    """Codebooks of the first and the second half and the effective rank, for each length in bytes in the sample."""
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()
     by_size: dict[int, list] = {}
     for r in rows:
@@ -85,7 +94,7 @@ def fit_codebooks(vectors: DataFrame, kind: str, sample: int = SAMPLE, codes: in
     for size, x in by_size.items():
         x = _unit(unpacked(x, kind))
         half = (x.shape[1] + 1) // 2
-        books[size] = (_codebook(x[:, :half], codes), _codebook(x[:, half:], codes))
+        books[size] = (_codebook(x[:, :half], codes), _codebook(x[:, half:], codes), effective_rank(x - x.mean(0)))
     return books
 
 
@@ -123,16 +132,16 @@ def multi_sequence(first: list[tuple[float, int]], second: list[tuple[float, int
                 heapq.heappush(heap, (first[x][0] + second[y][0], x, y))
 
 
-def visit_limit(size: int, cosine: float, recall: float) -> float:
+def visit_limit(rank: float, cosine: float, recall: float) -> float:
     """How far, squared, a visitor goes into other regions.
 
-    A vector within the cosine differs by at most sqrt(2 - 2 * cosine). If its direction is any, the
-    parts of the difference across the nearest border in each half have, together, a chi-square law
-    of two degrees, scaled by the length: this is its quantile of ``recall``.
+    A vector within the cosine differs by at most sqrt(2 - 2 * cosine). If its direction is any of the
+    ``rank`` in which the vectors spread, the parts of the difference across the nearest border in each
+    half have, together, a chi-square law of two degrees, scaled by the rank: this is its quantile of ``recall``.
     """
     if recall >= 1:
         return 2 - 2 * cosine
-    return min((2 - 2 * cosine) * -2 * math.log(1 - recall) / max(size, 1), 2 - 2 * cosine)
+    return min((2 - 2 * cosine) * -2 * math.log(1 - recall) / max(rank, 1), 2 - 2 * cosine)
 
 
 def _cells(vectors: DataFrame, books, kind: str, cosine: float, recall: float, blocks: dict[str, int] | None) -> DataFrame:
@@ -171,9 +180,9 @@ def _cells(vectors: DataFrame, books, kind: str, cosine: float, recall: float, b
                         place(out, row, f"{size}", [f"{size}"])
                     continue
                 x = _unit(unpacked([r[2] for r in rows], kind))
-                half, limit = (x.shape[1] + 1) // 2, visit_limit(x.shape[1], cosine, recall)
+                half, limit = (x.shape[1] + 1) // 2, visit_limit(own_books[size][2], cosine, recall)
                 homes, sides = [], []
-                for part, book in zip((x[:, :half], x[:, half:]), own_books[size]):
+                for part, book in zip((x[:, :half], x[:, half:]), own_books[size][:2]):
                     home, gap = _margins(part, book)
                     order = np.argsort(gap, axis=1, kind="stable")
                     homes.append(home.tolist())

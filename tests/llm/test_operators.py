@@ -475,3 +475,14 @@ def test_empty_documents_give_no_rows(spark, run):
 
 def test_empty_embeddings_give_no_rows(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_embedding_dedup_finds_links_of_vectors_in_few_dimensions(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(1200, 4)) @ r.normal(size=(4, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g["vec_id"]: g["n_links"] for g in embedding_dedup.near_duplicates(docs).collect()}
+    assert all(got[i] <= n for i, n in enumerate(near.sum(1)))
+    assert sum(got.values()) >= 0.999 * near.sum() > 1000
