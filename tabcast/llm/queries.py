@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, toxicity, warc
+from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, token_counts, toxicity, warc
 from tabcast.llm.common import table
 
 
@@ -119,6 +119,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count the tokens of all documents by a frequent-pre-token table and workers' caches."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
