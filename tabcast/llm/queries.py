@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, token_counts, toxicity, warc
+from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, token_counts, tokenizer_alignment, toxicity, warc
 from tabcast.llm.common import table
 
 
@@ -119,6 +119,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align the tokens of two tokenizers in all documents, with corpus-wide counts of the linked pairs of ids."""
+    docs = table(spark, sf_dir, "documents")
+    return tokenizer_alignment.align_documents(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count the tokens of all documents by a frequent-pre-token table and workers' caches."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
