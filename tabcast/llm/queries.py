@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, token_counts, tokenizer_alignment, toxicity, warc
+from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngram_join, packing, pii, prefix_trie, token_counts, tokenizer_alignment, toxicity, warc
 from tabcast.llm.common import table
 
 
@@ -119,6 +119,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def rebuilt_sequences(sequences: DataFrame) -> DataFrame:
+    """Each conversation c, begun with the first h turns of c - c % 100 and gone on with its own after its first h; h is crc32(c) % 6."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    own = sequences.select("conv_id", "turns", h.alias("h"), base.alias("base"))
+    # At most five turns of one conversation in a hundred, for a hundred conversations.
+    begins = sequences.where("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("begin"))
+    rest = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
+    begin = F.slice(F.coalesce("begin", F.expr("slice(turns, 1, 0)")), F.lit(1), F.col("h"))
+    return own.join(begins, "base", "left").select("conv_id", F.concat(begin, rest).alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All distinct prefixes of the rebuilt conversations, with what they share."""
+    turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(rebuilt_sequences(turns))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Align the tokens of two tokenizers in all documents, with corpus-wide counts of the linked pairs of ids."""
     docs = table(spark, sf_dir, "documents")
