@@ -14,8 +14,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabcast.operators.chained import TooManyPatterns, fit_chained
 from tabcast.operators.solve import gram, scaled_ridge_from_gram
-from tabcast.session import cut_lineage
+from tabcast.session import cut_lineage, written
 
 MISSING = "Missing"
 
@@ -141,19 +142,49 @@ def iterative_impute(
     tol: float = 1e-3,
     ridge: float = 1e-12,
     checkpoint: bool = True,
+    fit_df: DataFrame | None = None,
 ) -> DataFrame:
-    """I4: chained-equation imputation of the numeric ``cols``.
+    """I4: chained-equation imputation of the numeric ``cols``, fitted on ``fit_df`` (default: ``df`` itself).
 
     Start from the column means; then, round-robin from the least to the most incomplete
     column, regress each incomplete column on all others over its observed rows and replace
-    its missing cells by the prediction. Each regression is one distributed Gram aggregate
-    (d+1)² plus a solve on the driver, on columns centred and scaled from the Gram itself
-    (``ridge`` is relative to their unit variance); rows never leave the executors.
-    Stops when the largest change of an imputed cell, relative to the largest observed
-    magnitude, is below ``tol``. Each round is checkpointed to the shared checkpoint folder.
-    Only runs if something is missing; observed cells are never changed.
+    its missing cells by the prediction. Stops when no row moved by ``tol`` times the largest observed
+    magnitude. Observed cells are never changed; ``fit_df`` is read in full, ``df`` only when its rows are used.
+
+    The rounds run on the Grams of the missing patterns (``chained``): two passes whatever the number of
+    columns and rounds. With more patterns than it holds, and no ``fit_df`` of its own, it goes column by column.
+    ``checkpoint``: write the numeric columns once, so that both passes read them from there.
     """
     cols = list(cols)
+    source = df if fit_df is None else fit_df
+    source = source.select(*cols)
+    if checkpoint and cols:
+        source = written(source, "chained-fit")
+    try:
+        return fit_chained(source, cols, max_iter, tol, ridge).transform(df) if cols else df
+    except TooManyPatterns:
+        if fit_df is not None:
+            raise
+        return impute_by_passes(df, cols, max_iter, tol, ridge, checkpoint)
+
+
+def impute_by_passes(
+    df: DataFrame,
+    cols,
+    max_iter: int = 10,
+    tol: float = 1e-3,
+    ridge: float = 1e-12,
+    checkpoint: bool = True,
+) -> DataFrame:
+    """``iterative_impute`` column by column: one Gram aggregate per incomplete column and round.
+
+    For tables with more missing patterns than ``chained.MAX_PATTERNS``. Rows never leave the
+    executors; each round is checkpointed to the shared checkpoint folder. A column without any value is
+    left out.
+    """
+    cols = [c for c, n in df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict().items() if n] if cols else []
+    if not cols:
+        return df
     stats = df.agg(
         *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nm") for c in cols],
         *[F.avg(c).alias(f"{c}__mean") for c in cols],

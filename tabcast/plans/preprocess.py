@@ -66,7 +66,7 @@ def preprocess(
     max_iter: int = 10,
 ) -> Preprocessed:
     """Full reference preprocessing. ``fit_on='union'`` reproduces the reference (encoders and
-    imputer see train and test rows, quirk Q1); ``'train'`` fits the dictionary on train only."""
+    imputer see train and test rows, quirk Q1); ``'train'`` fits both on train rows only."""
     combined = features_before_encoding(train_raw, test_raw, key, target)
     reserved = (key, ORIGIN, target, f"{target}_Log", "Target_Shift_Value")
     cats, nums = columns_by_type(combined, exclude=reserved)
@@ -79,7 +79,8 @@ def preprocess(
     dictionary = fit_label_dictionary(fit_df, label_cols)
     combined = apply_label_dictionary(combined, dictionary, label_cols)
     if impute:
-        combined = iterative_impute(combined, nums, max_iter=max_iter)
+        fit_rows = None if fit_on == "union" else combined.filter(F.col(ORIGIN) == 1)
+        combined = iterative_impute(combined, nums, max_iter=max_iter, fit_df=fit_rows)
     train = combined.filter(F.col(ORIGIN) == 1).drop(ORIGIN)
     test = combined.filter(F.col(ORIGIN) == 0).drop(ORIGIN, target, f"{target}_Log", "Target_Shift_Value")
     shift = train_raw.agg(
