@@ -1,8 +1,10 @@
 """Out-of-fold predictions and blending.
 
-Predictions are a long keyed table ``(key, model, pred[, y, fold])``; weights are a table
-``(model, weight)`` with one row per model, so every broadcast here is bounded by the number
-of models, not by rows.
+Predictions stay wide where they can: one row per key, one column per model, so that averages, blends,
+error Grams and weight searches are narrow passes without a shuffle. A long table ``(key, model,
+pred[, y, fold])``, as stored predictions are, is aligned once by ``to_wide``. Weights are a table
+``(model, weight)`` with one row per model, so every broadcast here is bounded by the number of
+models (and weight sets), not by rows.
 """
 
 from __future__ import annotations
@@ -12,21 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabcast.functions.mathx import clamp_min
-from tabcast.operators.joins import align, bounded_broadcast, one_row_broadcast
-from tabcast.operators.solve import gram, nonneg_ridge
+from tabcast.operators.joins import bounded_broadcast, one_row_broadcast
+from tabcast.operators.solve import gram, nonneg_ridge, simplex_weights
 
 # ---------------------------------------------------------------- deterministic OOF predictors
 
 
-def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str, x: str) -> DataFrame:
-    """B1 for three closed-form models, all folds at once by total − fold statistics:
+def baseline_oof_wide(df: DataFrame, key: str, target: str, fold: str, category: str, x: str, keep=()) -> DataFrame:
+    """B1 for three closed-form models, all folds at once by total − fold statistics, one column each:
 
     * ``mean``      — mean target of the other folds;
     * ``group_mean``— mean target of the row's category in the other folds (else ``mean``);
     * ``line``      — least-squares line on ``x`` fitted on the other folds' rows that have ``x``
                       (rows without ``x`` get ``mean``).
 
-    Returns ``(key, fold, model, pred, y)``; no fold ever sees its own targets.
+    Returns ``(key, fold, y, mean, group_mean, line, keep…)``; no fold ever sees its own targets.
     """
     y = F.col(target).cast("double")
     xv = F.col(x).cast("double")
@@ -60,18 +62,30 @@ def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str,
         "__v", F.col(fold).alias("__f"), (F.col("__nt") - F.col("__n")).alias("__nr"),
         (F.col("__st") - F.col("__s")).alias("__sr"),
     )
-    base = df.select(F.col(key), F.col(fold), cat.alias("__cat"), xv.alias("__x"), y.alias("y"))
+    base = df.select(F.col(key), F.col(fold), cat.alias("__cat"), xv.alias("__x"), y.alias("y"), *keep)
     crest = bounded_broadcast(crest)  # categories × folds rows; a hot category never meets a shuffle join
     rows = base.join(F.broadcast(per_fold), fold).join(
         crest, (F.col("__cat") == F.col("__v")) & (F.col(fold) == F.col("__f")), "left"
     )
     group_mean = F.when(F.col("__nr") > 0, F.col("__sr") / F.col("__nr")).otherwise(F.col("__mean"))
     line = F.coalesce(F.col("__icpt") + F.col("__slope") * F.col("__x"), F.col("__mean"))
-    wide = rows.select(key, fold, "y", F.col("__mean").alias("mean"), group_mean.alias("group_mean"),
-                       line.alias("line"))
-    return wide.selectExpr(
-        f"`{key}`", f"`{fold}`", "y", "stack(3, 'mean', mean, 'group_mean', group_mean, 'line', line) as (model, pred)"
-    )
+    return rows.select(key, fold, "y", F.col("__mean").alias("mean"), group_mean.alias("group_mean"), line.alias("line"), *keep)
+
+
+def to_long(wide: DataFrame, models, keep) -> DataFrame:
+    """``(keep…, model, pred)``, one row per model; narrow."""
+    return wide.unpivot(list(keep), list(models), "model", "pred")
+
+
+def to_wide(preds: DataFrame, key: str, models) -> DataFrame:
+    """Long predictions with ``y`` as one row per key (one shuffle)."""
+    return preds.groupBy(key).pivot("model", list(models)).agg(F.first("pred")).join(preds.groupBy(key).agg(F.first("y").alias("y")), key)
+
+
+def baseline_oof(df: DataFrame, key: str, target: str, fold: str, category: str, x: str) -> DataFrame:
+    """``baseline_oof_wide`` as a long table ``(key, fold, model, pred, y)``."""
+    wide = baseline_oof_wide(df, key, target, fold, category, x)
+    return to_long(wide, ("mean", "group_mean", "line"), (key, fold, "y")).select(key, fold, "y", "model", "pred")
 
 
 # ---------------------------------------------------------------- OOF / hold-out with Spark ML models
@@ -161,10 +175,32 @@ def blend(
     return out
 
 
-def error_gram(preds: DataFrame, key: str, models) -> tuple[np.ndarray, int]:
-    """E = Σ e eᵀ with e = p − y per row, from one aggregate over aligned predictions (m×m)."""
-    wide = align(preds.withColumn("e", F.col("pred") - F.col("y")), key, value_col="e", models=models)
-    G, _, _, n = gram(wide, list(models), None, intercept=False)
+def average_wide(models) -> F.Column:
+    """B3 per row: the mean of the models that have a prediction."""
+    total = sum((F.coalesce(F.col(m), F.lit(0.0)) for m in models), F.lit(0.0))
+    return total / sum((F.col(m).isNotNull().cast("int") for m in models), F.lit(0))
+
+
+def blend_wide(wide: DataFrame, weights: DataFrame, models, keep, shift: str | None = None, clamp: float | None = None, set_col: str | None = None) -> DataFrame:
+    """B5 on wide predictions: ``keep``, blend_log = Σ wᵢ·pᵢ over models with wᵢ > 0, and value (expm1 − shift, clamped).
+
+    The weights are one row (one per weight set, B8), which is broadcast; rows are never shuffled.
+    """
+    w = weights.groupBy(*([set_col] if set_col else [])).pivot("model", list(models)).agg(F.first("weight"))
+    w = w.select(*([set_col] if set_col else []), *[F.col(m).alias(f"__w_{m}") for m in models])
+    out = wide.crossJoin(F.broadcast(w))
+    parts = [F.when(F.col(f"__w_{m}") > 0, F.col(f"__w_{m}") * F.col(m)) for m in models]
+    out = out.withColumn("blend_log", F.when(F.coalesce(*parts).isNotNull(), sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0))))
+    cols = [*([set_col] if set_col else []), *keep, "blend_log"]
+    if shift is None:
+        return out.select(*cols)
+    value = F.expm1("blend_log") - F.col(shift)
+    return out.select(*cols, (value if clamp is None else clamp_min(value, clamp)).alias("value"))
+
+
+def error_gram(wide: DataFrame, models, y: str = "y") -> tuple[np.ndarray, int]:
+    """E = Σ e eᵀ with e = p − y per row, from one narrow pass over wide predictions (m×m)."""
+    G, _, _, n = gram(wide.select(*[(F.col(m) - F.col(y)).alias(m) for m in models]), list(models), None, intercept=False)
     return G, n
 
 
@@ -183,15 +219,15 @@ def weight_trials(spark, models, n_trials: int, seed: int = 42) -> DataFrame:
     return wide.select("trial", *[(F.col(m) / total).alias(m) for m in models])
 
 
-def weight_search(preds: DataFrame, key: str, models, n_trials: int = 3000, seed: int = 42):
-    """Score any number of normalised weight vectors with one pass over the predictions.
+def weight_search(wide: DataFrame, models, n_trials: int = 3000, seed: int = 42):
+    """Score any number of normalised weight vectors with one pass over wide predictions.
 
     Since Σw = 1, RMSE²(w) = wᵀEw / n with E the error Gram; each trial is a narrow column
     expression on the trials table (the m×m Gram is inlined as literals).
     Returns (scored trials, best trial row).
     """
-    E, n = error_gram(preds, key, models)
-    trials = weight_trials(preds.sparkSession, models, n_trials, seed)
+    E, n = error_gram(wide, models)
+    trials = weight_trials(wide.sparkSession, models, n_trials, seed)
     quad = F.lit(0.0)
     for i, a in enumerate(models):
         for j, b in enumerate(models):
@@ -202,10 +238,22 @@ def weight_search(preds: DataFrame, key: str, models, n_trials: int = 3000, seed
     return scored, best
 
 
-def stack_nonneg(preds: DataFrame, key: str, models, alphas=(0.001, 0.01, 0.1, 1.0, 10.0)):
-    """Non-negative ridge stacking without intercept for each α (PᵀP, Pᵀy from one aggregate),
+def best_weights(wide: DataFrame, models, n_trials: int = 3000, seed: int = 42) -> DataFrame:
+    """The exact optimum that B7's trials are searched for: (model, weight, rmse, best_trial_rmse).
+
+    The weights of least RMSE among all that are not negative and sum to 1, from the same error Gram.
+    """
+    E, n = error_gram(wide, models)
+    w = simplex_weights(E)
+    rmse = float(np.sqrt(max(w @ E @ w, 0.0) / n))
+    _, best = weight_search(wide, models, n_trials, seed)
+    tried = best.first()["rmse"]
+    return wide.sparkSession.createDataFrame([(m, float(x), rmse, tried) for m, x in zip(models, w)], "model string, weight double, rmse double, best_trial_rmse double")
+
+
+def stack_nonneg(wide: DataFrame, models, alphas=(0.001, 0.01, 0.1, 1.0, 10.0)):
+    """Non-negative ridge stacking without intercept for each α (PᵀP, Pᵀy from one narrow pass),
     weights rescaled to sum 1, best RMSE wins. Returns a small DataFrame (alpha, model, weight, rmse)."""
-    wide = align(preds, key, models=models).join(preds.groupBy(key).agg(F.first("y").alias("y")), key)
     PtP, Pty, yy, n = gram(wide, list(models), "y", intercept=False)
     rows = []
     for a in alphas:
@@ -215,4 +263,4 @@ def stack_nonneg(preds: DataFrame, key: str, models, alphas=(0.001, 0.01, 0.1, 1
         rss = yy - 2 * w @ Pty + w @ PtP @ w
         rmse = float(np.sqrt(max(rss, 0.0) / n))
         rows += [(float(a), m, float(wi), rmse) for m, wi in zip(models, w)]
-    return preds.sparkSession.createDataFrame(rows, "alpha double, model string, weight double, rmse double")
+    return wide.sparkSession.createDataFrame(rows, "alpha double, model string, weight double, rmse double")

@@ -69,7 +69,7 @@ def spark_linear_params(spec: LinearSpec, n: int, sd_y: float) -> tuple[float, f
     return reg, (l1 / reg if reg > 0 else 0.0)
 
 
-def fit_linear(train: DataFrame, label: str, spec: LinearSpec, features: str = FEATURES, max_iter: int = 50):
+def fit_linear(train: DataFrame, label: str, spec: LinearSpec, features: str = FEATURES, max_iter: int = 50, tol: float = 1e-6):
     """L1/L2/L4/L5 on assembled features."""
     n = train.count()
     solver = "normal" if spec.kind in ("ols", "ridge") else "auto"
@@ -77,7 +77,7 @@ def fit_linear(train: DataFrame, label: str, spec: LinearSpec, features: str = F
     reg, en = spark_linear_params(spec, n, sd)
     lr = LinearRegression(
         featuresCol=features, labelCol=label, regParam=reg, elasticNetParam=en, standardization=False,
-        solver=solver, maxIter=max_iter, tol=1e-6,
+        solver=solver, maxIter=max_iter, tol=tol,
     )
     return lr.fit(train)
 

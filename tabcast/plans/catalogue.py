@@ -21,8 +21,9 @@ from tabcast.functions.mathx import (
 )
 from tabcast.operators import encode, ensemble, impute, knn, metrics, profile, split
 from tabcast.operators.joins import align
+from tabcast.operators.transformer import FeatureEncoder
 from tabcast.schema import columns_by_type, existing, separate, FeatureSpec
-from tabcast.session import scratch_path
+from tabcast.session import scratch_path, written
 from tabcast.sources import sinks
 from tabcast.sources.tables import KEY, RAW_CATEGORICAL, RAW_NUMERIC, TARGET, raw_shipments, split_raw, table
 
@@ -68,6 +69,13 @@ def baseline_preds(spark, d) -> DataFrame:
     return ensemble.baseline_oof(df, KEY, LOG, "fold", "Transport_Method", "Equipment_Value")
 
 
+def baseline_wide(spark, d) -> DataFrame:
+    """The same predictions, one row per key, with the shift; written, as every user reads them more than once."""
+    df = split.kfold(engineered(spark, d), KEY, 5, SEED)
+    wide = ensemble.baseline_oof_wide(df, KEY, LOG, "fold", "Transport_Method", "Equipment_Value", keep=("Target_Shift_Value",))
+    return written(wide, "baseline")
+
+
 # ------------------------------------------------------------------ flagship slice
 
 
@@ -337,6 +345,16 @@ def q_target_encode_leakage(spark, d):
     return a.unionByName(b).select("variant", "n", "rmse")
 
 
+def q_encoder_store(spark, d):
+    """Encoders fitted on train rows (target encoding, medians, scaler), stored, loaded and applied to validation rows."""
+    df = labelled_log(spark, d).select(KEY, LOG, "Transport_Method", "Hospital_Info", "Equipment_Height", "Equipment_Value")
+    train, valid = split.holdout(df, KEY, 0.2, SEED)
+    path = scratch_path(spark, "encoder")
+    fitted = FeatureEncoder.fit(train, ["Transport_Method", "Hospital_Info"], ["Equipment_Height", "Equipment_Value"], target=LOG, scale=True)
+    fitted.save(path, spark)
+    return FeatureEncoder.load(spark, path).transform(valid).drop(LOG)
+
+
 def q_ordered_target_stat(spark, d):
     """Running mean of earlier rows' targets per category in a seeded order (two-level prefix sums)."""
     df = labelled(spark, d).select(KEY, "Hospital_Info", TARGET)
@@ -437,42 +455,45 @@ def q_alignment_gaps(spark, d):
 
 def q_simple_average(spark, d):
     """Unweighted mean of the models per key."""
-    return ensemble.simple_average(baseline_preds(spark, d), KEY)
+    return baseline_wide(spark, d).select(KEY, ensemble.average_wide(BASELINE_MODELS).alias("pred"), "y")
 
 
-def _inverse_mse_weights(spark, d):
-    scores = metrics.model_scores(baseline_preds(spark, d))
+def _inverse_mse_weights(wide):
+    scores = metrics.model_scores(ensemble.to_long(wide, BASELINE_MODELS, ("y",)))
     raw = scores.select("model", (F.lit(1.0) / (F.col("rmse") * F.col("rmse"))).alias("weight"))
     return ensemble.normalise_weights(raw)
 
 
 def q_normalise_weights(spark, d):
     """Inverse-MSE weights normalised to sum 1."""
-    return _inverse_mse_weights(spark, d)
+    return _inverse_mse_weights(baseline_wide(spark, d))
 
 
 def q_blend(spark, d):
     """B5 + M6 + P11: weighted log-space blend, expm1 − shift, clamped at 0."""
-    preds = baseline_preds(spark, d)
-    w = _inverse_mse_weights(spark, d)
-    shift = labelled_log(spark, d).agg(F.first("Target_Shift_Value").alias("s")).first()["s"]
-    return ensemble.blend(preds, w, KEY, shift=shift, clamp=0.0)
+    wide = baseline_wide(spark, d)
+    return ensemble.blend_wide(wide, _inverse_mse_weights(wide), BASELINE_MODELS, (KEY,), shift="Target_Shift_Value", clamp=0.0)
 
 
 def q_relative_improvement(spark, d):
     """% gain of simple and weighted blends over the best single model."""
-    preds = baseline_preds(spark, d)
-    simple = ensemble.simple_average(preds, KEY).withColumn("model", F.lit("simple_average"))
-    weighted = ensemble.blend(preds, _inverse_mse_weights(spark, d), KEY).join(
-        preds.groupBy(KEY).agg(F.first("y").alias("y")), KEY
-    ).select(KEY, F.col("blend_log").alias("pred"), "y", F.lit("weighted").alias("model"))
-    allp = preds.select(KEY, "pred", "y", "model").unionByName(simple.select(KEY, "pred", "y", "model")).unionByName(
-        weighted
-    )
-    scores = metrics.model_scores(allp)
+    wide = baseline_wide(spark, d)
+    blended = ensemble.blend_wide(wide, _inverse_mse_weights(wide), BASELINE_MODELS, ("y", *BASELINE_MODELS))
+    blended = blended.withColumnRenamed("blend_log", "weighted").withColumn("simple_average", ensemble.average_wide(BASELINE_MODELS))
+    scores = metrics.model_scores(ensemble.to_long(blended, (*BASELINE_MODELS, "simple_average", "weighted"), ("y",)))
     return metrics.relative_improvement(scores, ["simple_average", "weighted"])
 
 
+def q_ensemble_difference(spark, d):
+    """A15 between two ensembles: the means of the inverse-MSE blend and of a hand-weighted one, in original scale, and how far apart they are."""
+    wide = baseline_wide(spark, d)
+    ours = ensemble.blend_wide(wide, _inverse_mse_weights(wide), BASELINE_MODELS, (KEY, "Target_Shift_Value", *BASELINE_MODELS), shift="Target_Shift_Value", clamp=0.0)
+    manual = spark.createDataFrame([(m, w) for m, w in zip(("mean", "group_mean", "line"), MANUAL_WEIGHT_SETS["w_64_1_35"])], "model string, weight double")
+    both = ensemble.blend_wide(ours.withColumnRenamed("value", "ours").drop("blend_log"), manual, BASELINE_MODELS, ("ours",), shift="Target_Shift_Value", clamp=0.0)
+    means = both.agg(F.avg("ours").alias("mean_weighted"), F.avg("value").alias("mean_manual"))
+    return means.withColumn("abs_diff", F.abs(F.col("mean_weighted") - F.col("mean_manual")))
+
+
 def q_prediction_summary(spark, d):
     """min/max/mean/median of the blended original-scale predictions."""
     return metrics.prediction_summary(q_blend(spark, d), "value")
@@ -480,9 +501,9 @@ def q_prediction_summary(spark, d):
 
 def q_cross_model_means(spark, d):
     """Each model's mean prediction against the simple-average ensemble mean."""
-    preds = baseline_preds(spark, d)
-    per_model = preds.groupBy("model").agg(F.avg("pred").alias("mean_pred"))
-    ens = ensemble.simple_average(preds, KEY).agg(F.avg("pred").alias("ensemble_mean"))
+    wide = baseline_wide(spark, d)
+    per_model = ensemble.to_long(wide, BASELINE_MODELS, ()).groupBy("model").agg(F.avg("pred").alias("mean_pred"))
+    ens = wide.agg(F.avg(ensemble.average_wide(BASELINE_MODELS)).alias("ensemble_mean"))
     return per_model.crossJoin(F.broadcast(ens)).withColumn(
         "abs_diff", F.abs(F.col("mean_pred") - F.col("ensemble_mean"))
     )
@@ -490,22 +511,26 @@ def q_cross_model_means(spark, d):
 
 def q_weight_search(spark, d):
     """3000 random normalised weight vectors scored from the error Gram; best trial."""
-    _, best = ensemble.weight_search(baseline_preds(spark, d), KEY, BASELINE_MODELS, n_trials=3000, seed=SEED)
+    _, best = ensemble.weight_search(baseline_wide(spark, d), BASELINE_MODELS, n_trials=3000, seed=SEED)
     return best
 
 
+def q_best_weights(spark, d):
+    """B7's optimum: the weights of least RMSE on the simplex, beside the best of 3000 trials."""
+    return ensemble.best_weights(baseline_wide(spark, d), BASELINE_MODELS, n_trials=3000, seed=SEED)
+
+
 def q_manual_weight_grid(spark, d):
     """One blended, inverted output per hand-picked weight set."""
-    preds = baseline_preds(spark, d)
+    wide = baseline_wide(spark, d)
     rows = [(s, m, float(w)) for s, ws in MANUAL_WEIGHT_SETS.items() for m, w in zip(("mean", "group_mean", "line"), ws)]
     weights = spark.createDataFrame(rows, "weight_set string, model string, weight double")
-    shift = labelled_log(spark, d).agg(F.first("Target_Shift_Value").alias("s")).first()["s"]
-    return ensemble.blend(preds, weights, KEY, shift=shift, set_col="weight_set")
+    return ensemble.blend_wide(wide, weights, BASELINE_MODELS, (KEY,), shift="Target_Shift_Value", set_col="weight_set")
 
 
 def q_stacking_nonneg(spark, d):
     """Non-negative ridge stacking over α, weights rescaled to 1, RMSE per α."""
-    return ensemble.stack_nonneg(baseline_preds(spark, d), KEY, list(BASELINE_MODELS))
+    return ensemble.stack_nonneg(baseline_wide(spark, d), list(BASELINE_MODELS))
 
 
 # ------------------------------------------------------------------ KNN
@@ -561,7 +586,7 @@ def q_prediction_store(spark, d):
 def q_weights_store(spark, d):
     """Weights written and read back."""
     path = scratch_path(spark, "weights")
-    sinks.write_weights(_inverse_mse_weights(spark, d), path)
+    sinks.write_weights(_inverse_mse_weights(baseline_wide(spark, d)), path)
     return sinks.read_weights(spark, path)
 
 

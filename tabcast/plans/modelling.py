@@ -6,6 +6,8 @@ driver's rows-only check. Every fit is a Spark ML job over the whole labelled ta
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
@@ -13,12 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabcast.functions.mathx import yes_no_code
-from tabcast.operators import encode, ensemble, impute, knn, metrics, models, solve, split, tune
-from tabcast.operators.joins import align
+from tabcast.operators import encode, ensemble, impute, knn, linear, metrics, models, ordered, solve, split, trees, tune
 from tabcast.plans.catalogue import KEY, LOG, SEED, TARGET, engineered, labelled, unlabelled
 from tabcast.plans.preprocess import preprocess
 from tabcast.schema import columns_by_type
-from tabcast.session import cut_lineage, scratch_path
+from tabcast.session import cut_lineage, scratch_path, written
 from tabcast.sources import sinks
 
 RESERVED = (KEY, TARGET, LOG, "Target_Shift_Value", "Hospital_Location", "Supplier_Name")
@@ -119,20 +120,94 @@ def q_ridge_gradient_descent(spark, d):
     return spark.createDataFrame(hist, "step int, split string, rmse double")
 
 
+def linear_frame(df: DataFrame, cats, nums, k: int, smoothing: float = 1.0) -> tuple[DataFrame, list[linear.Feature]]:
+    """Rows with a ``fold`` column, and their features as fitted without each fold: target-encoded categoricals and
+    numerics whose NULLs are filled by the exact medians of the fold's training rows."""
+    # What the folds' fits read, written once.
+    df = written(df.select(KEY, LOG, "fold", *cats, *nums), "linear-rows")
+    medians = [impute.exact_quantiles(df.filter((F.col("fold") != f) | F.col("fold").isNull()), nums, 0.5) for f in range(k)]
+    encoded = encode.target_encode_folds(df, cats, LOG, "fold", k, smoothing=smoothing)
+    fill = lambda c: tuple(m[c] if m[c] is not None else 0.0 for m in medians)
+    feats = [linear.Feature(c, tuple(f"{c}__te{f}" for f in range(k))) for c in cats]
+    return written(encoded, "linear-encoded"), feats + [linear.Feature(c, (c,), fill(c)) for c in nums]
+
+
+def model_rows(spark: SparkSession, d: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Engineered labelled rows with categoricals filled: (rows, categoricals, numerics)."""
+    df = engineered(spark, d)
+    cats, nums = columns_by_type(df, exclude=RESERVED)
+    return impute.constant_fill(df, cats), cats, nums
+
+
+#: The linear models of the out-of-fold matrix, with the reference's penalties.
+OOF_LINEAR = {
+    "linear_regression": models.LinearSpec("ols"),
+    "ridge": models.LinearSpec("ridge", 100.0),
+    "lasso": models.LinearSpec("lasso", 10.0),
+    "elasticnet": models.LinearSpec("enet", 1.0, 0.9),
+}
+
+
+def oof_linear_predictions(spark, d, k: int = 5) -> DataFrame:
+    """B1, wide: out-of-fold predictions of the four linear models, with in-fold encodings and medians."""
+    df, cats, nums = model_rows(spark, d)
+    rows, feats = linear_frame(split.kfold(df, KEY, k, SEED), cats, nums, k)
+    grams = linear.FoldGrams.of(rows, feats, LOG, "fold", k)
+    return linear.oof_linear(rows, grams, OOF_LINEAR, "fold", keep=(KEY, F.col(LOG).alias("y")))
+
+
+def q_oof_linear_models(spark, d):
+    """B1 + A12 + A16: four linear models of five folds from one pass over the rows; pooled and mean-fold RMSE."""
+    wide = oof_linear_predictions(spark, d)
+    p = wide.unpivot([KEY, "fold", "y"], list(OOF_LINEAR), "model", "pred")
+    return metrics.model_scores(p).join(metrics.fold_mean(p, "y", "pred", "fold", by=["model"]), "model")
+
+
+def q_oof_linear_one_feature(spark, d):
+    """B1 from fold Grams with one feature, where OLS, ridge, lasso and elastic net have closed forms."""
+    df = split.kfold(engineered(spark, d).filter(F.col("Equipment_Value").isNotNull()), KEY, 5, SEED)
+    df = written(df.select(KEY, LOG, "fold", "Equipment_Value"), "linear-one")
+    specs = {
+        "ols": models.LinearSpec("ols"),
+        "ridge": models.LinearSpec("ridge", 1e12),
+        "lasso": models.LinearSpec("lasso", 1000.0),
+        "enet": models.LinearSpec("enet", 2000.0, 0.25),
+    }
+    grams = linear.FoldGrams.of(df, [linear.Feature("v", ("Equipment_Value",))], LOG, "fold", 5)
+    return linear.oof_linear(df, grams, specs, "fold", keep=(KEY,))
+
+
+#: The penalties that the sweeps try.
+SWEEP = {
+    "ridge": ((0.1, 1.0, 10.0, 100.0, 1000.0), (0.0,)),
+    "lasso": ((0.001, 0.01, 0.1, 1.0, 10.0), (1.0,)),
+    "enet": ((0.001, 0.01, 0.1, 1.0), (0.1, 0.5, 0.7, 0.9)),
+}
+
+
 def q_holdout_sweep(spark, d):
-    """Ridge α sweep 0.1…1000 solved from one Gram pass on train; validation RMSE per α."""
-    df, feats = model_frame(spark, d)
-    train, valid = _split(df)
-    st = encode.fit_standard_scaler(train, feats)
-    tr = encode.apply_standard_scaler(train, st, feats)
-    va = encode.apply_standard_scaler(valid, st, feats)
-    G, xy, _, _ = solve.gram(tr, feats, LOG)
-    Gv, xyv, yyv, nv = solve.gram(va, feats, LOG)
-    rows = []
-    for a in (0.1, 1.0, 10.0, 100.0, 1000.0):
-        w = solve.ridge_from_gram(G, xy, a)
-        rows.append((a, float(np.sqrt(max(solve.rss_from_gram(Gv, xyv, yyv, w), 0.0) / nv))))
-    return spark.createDataFrame(rows, "alpha double, valid_rmse double")
+    """Ridge, lasso and elastic-net sweeps on a 15 % hold-out with target encoding, each family's best refitted on
+    all rows (encoding and medians too). All fits of a frame are solved from its one Gram pass."""
+    df, cats, nums = model_rows(spark, d)
+    valid = split.holdout_flag(KEY, 0.15, SEED)
+    rows, feats = linear_frame(df.withColumn("fold", F.when(valid, 0).otherwise(1)), cats, nums, 1)
+    grams = linear.FoldGrams.of(rows, feats, LOG, "fold", 1)
+    rows, feats = linear_frame(df.withColumn("fold", F.lit(1)), cats, nums, 1)
+    full = linear.FoldGrams.of(rows, feats, LOG, "fold", 1).train[0]
+    out = []
+    for family, (alphas, ratios) in SWEEP.items():
+        tried = []
+        for ratio in ratios:
+            for a, w in linear.path(grams.train[0], family, alphas, ratio).items():
+                tried.append((grams.valid[0].rmse(w), a, ratio, int((np.abs(w[1:]) > 0).sum())))
+        best = min(tried)
+        refit = linear.fit(full, models.LinearSpec(family, best[1], best[2]))
+        for t in sorted(tried, key=lambda t: (t[2], t[1])):
+            mine = t == best
+            out.append((family, t[1], t[2], t[0], t[3], mine, full.rmse(refit) if mine else None, int((np.abs(refit[1:]) > 0).sum()) if mine else None))
+    return spark.createDataFrame(
+        out, "family string, alpha double, l1_ratio double, valid_rmse double, n_nonzero int, best boolean, refit_rmse double, refit_nonzero int"
+    )
 
 
 # ------------------------------------------------------------------ trees and boosting
@@ -157,66 +232,72 @@ def q_grid_search(spark, d):
     return table
 
 
-def q_random_forest(spark, d):
-    """Forest (20 trees, depth 10, min leaf 2, 0.6985 of features per node); score + importances."""
-    df, feats = model_frame(spark, d)
-    train, valid = _split(df)
-    m = models.fit_forest(train, LOG, n_trees=20, max_depth=10, min_leaf=2, feature_fraction=0.6985)
-    imp = models.importance_table(spark, m, feats).orderBy(F.col("value").desc(), "feature").limit(20)
-    sc = _score(m, valid, "forest").first()
-    return imp.withColumns({"valid_rmse": F.lit(sc["rmse"]), "valid_r2": F.lit(sc["r2"])})
+def holdout_grower(spark, d) -> tuple[trees.Grower, list[str]]:
+    """Label-coded rows, binned; fold 0 are the validation rows, numerics stay missing where they are."""
+    df, feats, _ = coded_frame(spark, d)
+    df = df.withColumn("fold", F.when(F.col("is_valid"), 0).otherwise(1))
+    rows, binner = trees.binned(df, feats, LOG, KEY, "fold", fit_on=df.filter(~F.col("is_valid")))
+    return trees.Grower(rows, binner), feats
 
 
-def q_gradient_boosting(spark, d):
-    """Squared-loss boosting, lr 0.1, depth 6; L9 variant with row/column sampling and min child."""
-    df, _ = model_frame(spark, d)
-    train, valid = _split(df)
-    plain = models.fit_gbt(train, LOG, n_iter=20, lr=0.1, max_depth=6)
-    sampled = models.fit_gbt(train, LOG, n_iter=20, lr=0.1, max_depth=6, min_leaf=7, subsample=0.8,
-                             feature_fraction=0.8)
-    return _score(plain, valid, "gbt").unionByName(_score(sampled, valid, "gbt_sampled"))
+def _scored(grower: trees.Grower, model: trees.Ensemble, name: str) -> DataFrame:
+    """Metrics of a model on the rows of fold 0."""
+    p = trees.predict(grower.rows.where("fold = 0"), {"pred": model}, grower.d)
+    return metrics.metrics(p, "y", "pred", mape=False).withColumn("model", F.lit(name))
 
 
-def q_boosting_early_stop(spark, d):
-    """Learning curve on train/validation, best round count by arg-min with
-    patience, refit on all rows with that many rounds; returns the curve and the chosen count."""
-    df, _ = model_frame(spark, d)
-    train, valid = _split(df)
-    m = models.fit_gbt(train, LOG, n_iter=30, lr=0.1, max_depth=6, min_leaf=20, subsample=0.8, feature_fraction=0.8)
-    curve = models.learning_curve(m, {"train": train, "validation": valid}, LOG)
-    best = models.best_rounds(curve, "validation", patience=10)
-    refit = models.fit_gbt(df, LOG, n_iter=best, lr=0.1, max_depth=6, min_leaf=20, subsample=0.8,
-                           feature_fraction=0.8)
+#: The reference's forest and boosting settings.
+FOREST = trees.TreeParams(max_depth=20, min_leaf=2, node_fraction=0.6985, bootstrap=True)
+BOOSTED = trees.TreeParams(max_depth=6, learning_rate=0.1, l2=1.0)
+LEAFWISE = trees.TreeParams(max_depth=6, max_leaves=31, learning_rate=0.05, row_fraction=0.8, feature_fraction=0.8, min_leaf=20, l1=0.1, l2=1.0)
+
+
+def q_random_forest(spark, d, n_trees: int = 500):
+    """Forest of 500 trees of depth 20 (min leaf 2, 0.6985 of features per node), all grown together; score and importances."""
+    grower, feats = holdout_grower(spark, d)
+    m = trees.fit_forests(grower, {"forest": trees.Forest(n_trees, FOREST, without=0, seed=SEED)})["forest"]
+    imp = spark.createDataFrame([(f, float(v), "importance") for f, v in zip(feats, m.importances(grower.d))], "feature string, value double, kind string")
+    sc = _scored(grower, m, "forest").first()
+    return imp.orderBy(F.col("value").desc(), "feature").limit(20).withColumns({"valid_rmse": F.lit(sc["rmse"]), "valid_r2": F.lit(sc["r2"])})
+
+
+def q_gradient_boosting(spark, d, rounds: int = 500, patience: int = 50):
+    """500 rounds of second-order boosting, lr 0.1, depth 6, stopped by 50 rounds without gain; L9: the same with row and
+    column sampling and larger leaves. Both runs share every pass."""
+    grower, _ = holdout_grower(spark, d)
+    sampled = replace(BOOSTED, row_fraction=0.8, feature_fraction=0.8, min_leaf=7)
+    runs = {n: trees.Boosting(rounds, p, without=0, patience=patience, seed=SEED) for n, p in (("gbt", BOOSTED), ("gbt_sampled", sampled))}
+    found = trees.fit_boosting(grower, runs)
+    parts = [_scored(grower, m, n).withColumn("trees", F.lit(len(m.trees))) for n, m in found.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def q_boosting_early_stop(spark, d, rounds: int = 5000, patience: int = 50):
+    """Leaf-wise boosting up to 5000 rounds that stops 50 rounds after its best; refit on all rows
+    with that many rounds. Returns the learning curve and the chosen count."""
+    grower, _ = holdout_grower(spark, d)
+    m = trees.fit_boosting(grower, {"m": trees.Boosting(rounds, LEAFWISE, without=0, patience=patience, seed=SEED)})["m"]
+    best = len(m.trees)
+    refit = trees.fit_boosting(grower, {"m": trees.Boosting(best, LEAFWISE, seed=SEED)})["m"]
+    curve = [(i, s, v) for i, train, valid in m.curve for s, v in (("train", train), ("validation", valid))]
     out = spark.createDataFrame(curve, "iteration int, split string, rmse double")
     return out.withColumns({"best_rounds": F.lit(best), "refit_trees": F.lit(len(refit.trees))})
 
 
-def q_ordered_stats_boosting(spark, d):
-    """Categorical columns as ordered target statistics (E8, no leakage of a row's own target)
-    feeding squared-loss boosting with Spark's validation-based early stop (L13). The statistics,
-    prior and medians come from training rows; validation rows read the full training totals."""
-    df = engineered(spark, d)
-    cats, nums = columns_by_type(df, exclude=RESERVED)
-    df = impute.constant_fill(df, cats).withColumn("is_valid", split.holdout_flag(KEY, 0.2, SEED))
-    df = cut_lineage(df.select(KEY, LOG, "is_valid", *cats, *nums))
-    df, _ = impute.median_fill(df.filter(~F.col("is_valid")), df, nums)
-    X = ordered_stats_split(df, cats, LOG, "is_valid")
-    feats = [f"{c}_ots" for c in cats] + nums
-    X = cut_lineage(models.assemble(X.select(KEY, LOG, "is_valid", *feats), feats))
-    m = models.fit_gbt(X, LOG, n_iter=30, lr=0.1, max_depth=6, validation_col="is_valid")
-    return _score(m, X.filter("is_valid"), "ordered_stats_gbt").withColumn("trees", F.lit(len(m.trees)))
+#: The reference's ordered boosting.
+ORDERED = trees.TreeParams(max_depth=6, learning_rate=0.1, l2=3.0)
 
 
-def ordered_stats_split(df: DataFrame, cats, target: str, flag: str) -> DataFrame:
-    """E8 on the rows not flagged; flagged rows get each category's total statistic over those."""
-    train, valid = df.filter(~F.col(flag)), df.filter(F.col(flag))
-    prior = train.agg(F.avg(target).alias("__prior"))
-    for c in cats:
-        total = train.groupBy(F.col(c).cast("string").alias("__v")).agg(F.sum(target).alias("__s"), F.count(target).alias("__c"))
-        valid = valid.join(total, F.col(c).cast("string") == F.col("__v"), "left").crossJoin(F.broadcast(prior))
-        stat = (F.coalesce("__s", F.lit(0.0)) + F.col("__prior")) / (F.coalesce("__c", F.lit(0)) + 1)
-        valid = valid.withColumn(f"{c}_ots", stat).drop("__v", "__s", "__c", "__prior")
-    return encode.ordered_target_stats(train, cats, target, KEY, seed=SEED).unionByName(valid)
+def q_ordered_stats_boosting(spark, d, rounds: int = 500, patience: int = 50, permutations: int = 3):
+    """Ordered target statistics of three permutations (no row's target reaches its own features), a boosting run of up to
+    500 rounds on each, stopped by the validation rows, and the mean of their predictions."""
+    df, cats, nums = model_rows(spark, d)
+    rows = df.withColumn("fold", F.when(split.holdout_flag(KEY, 0.2, SEED), 0).otherwise(1))
+    grower, found = ordered.fit_ordered(rows, cats, nums, KEY, LOG, "fold", 1, ORDERED, rounds, patience, permutations, SEED)
+    p = trees.predict(grower.rows.where("fold = 0"), found, grower.d)
+    pred = sum((F.col(f"`{n}`") for n in found), F.lit(0.0)) / len(found)
+    scored = metrics.metrics(p.withColumn("pred", pred), "y", "pred", mape=False)
+    return scored.withColumns({"model": F.lit("ordered_stats_boosting"), "trees": F.lit(sum(len(m.trees) for m in found.values()))})
 
 
 # ------------------------------------------------------------------ KNN with scaling + PCA
@@ -279,108 +360,167 @@ def q_dtype_dispatch(spark, d):
 # ------------------------------------------------------------------ tuning
 
 
-def q_random_search(spark, d, n_trials: int = 6, n_trees=(5, 15), max_depth=(3, 8)):
-    """Seeded random search over forest size/depth/leaf and target-encoding smoothing; each
-    trial scored by mean per-fold RMSE with in-fold (leak-free) encoding of all categoricals and in-fold
-    medians; the best trial is fitted again on all rows (``refit_trees``, ``refit_rmse``).
+def encoded_grower(rows: DataFrame, cats, nums, k: int, smoothings: dict[str, float]) -> tuple[trees.Grower, dict]:
+    """Binned rows with numerics and target-encoded categoricals, fitted without each of ``k`` folds, once per smoothing.
+
+    Returns the grower and (smoothing's name, fold) → the places of the features that a model without that fold uses."""
+    names = list(nums)
+    for name, smoothing in smoothings.items():
+        rows = written(encode.target_encode_folds(rows, cats, LOG, "fold", k, smoothing=smoothing, suffix=f"__{name}"), "tree-encoded")
+        names += [f"{c}__{name}{f}" for f in range(k) for c in cats]
+    at = {n: i for i, n in enumerate(names)}
+    places = {(name, f): tuple(at[c] for c in nums) + tuple(at[f"{c}__{name}{f}"] for c in cats) for name in smoothings for f in range(k)}
+    table, binner = trees.binned(rows, names, LOG, KEY, "fold")
+    return trees.Grower(table, binner), places
 
-    The trial count and ranges are parameters; the defaults are small, because a forest of
-    hundreds of deep trees for each of 30 trials takes hours on one machine.
+
+def fold_rmse(grower: trees.Grower, found: dict[str, trees.Ensemble], folds: dict[str, int]) -> dict[str, float]:
+    """Mean over its folds of the RMSE of each model (names up to ``@``) on the fold it left out; one pass."""
+    p = trees.predict(grower.rows, found, grower.d, folds)
+    stems = list(dict.fromkeys(n.split("@")[0] for n in found))
+    per_fold = p.groupBy("fold").agg(*[F.sqrt(F.avg((F.col(s) - F.col("y")) ** 2)).alias(s) for s in stems])
+    row = per_fold.agg(*[F.avg(s).alias(s) for s in stems]).first()
+    return {s: float(row[s]) for s in stems}
+
+
+#: The reference's search space of the forest.
+FOREST_SPACE = {
+    "n_trees": ("int", 100, 1000), "max_depth": ("int", 10, 30), "min_split": ("int", 2, 20), "min_leaf": ("int", 1, 10),
+    "max_features": ("float", 0.6, 1.0), "smoothing": ("float", 1.0, 5.0),
+}
+
+
+def q_random_search(spark, d, n_trials: int = 30, n_trees=(10, 30), k: int = 5):
+    """30 seeded random trials over forest size, depth, split and leaf sizes, features per node and target-encoding smoothing;
+    each scored by mean per-fold RMSE over 5 folds with in-fold encoding, the forests of several trials and all folds grown
+    together; the best trial is fitted again on all rows (``refit_trees``, ``refit_rmse``).
+
+    All ranges are the reference's but the number of trees, 100 to 1000 there (README: measured times).
     """
-    df = engineered(spark, d)
-    cats, nums = columns_by_type(df, exclude=RESERVED)
-    df = split.kfold(impute.constant_fill(df, cats), KEY, 5, SEED)
-    df = cut_lineage(df.select(KEY, LOG, "fold", *cats, *nums))
-    medians = [impute.exact_quantiles(df.filter(F.col("fold") != f), nums, 0.5) for f in range(5)]
-    space = {"n_trees": ("int", *n_trees), "max_depth": ("int", *max_depth), "min_leaf": ("int", 1, 10),
-             "smoothing": ("float", 0.5, 10.0)}
+    df, cats, nums = model_rows(spark, d)
+    rows = written(split.kfold(df, KEY, k, SEED).select(KEY, LOG, "fold", *cats, *nums), "search-rows")
+    space = FOREST_SPACE | {"n_trees": ("int", *n_trees)}
     trials = [r.asDict() for r in tune.sample_trials(spark, space, n_trials, SEED).collect()]
-    feats = [f"{c}_te" for c in cats] + nums
-    fill = lambda x, m: x.fillna({c: v for c, v in m.items() if v is not None})
-
-    def forest(x, t):
-        return models.fit_forest(x, LOG, n_trees=int(t["n_trees"]), max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
-
-    def score(t):
-        enc = encode.target_encode_oof(df, cats, LOG, "fold", smoothing=t["smoothing"], suffix="_te")
-        enc = cut_lineage(enc.select(KEY, LOG, "fold", *feats))
-        parts = []
-        for f in range(5):
-            X = models.assemble(fill(enc, medians[f]), feats)
-            m = forest(X.filter(F.col("fold") != f), t)
-            parts.append(m.transform(X.filter(F.col("fold") == f)).select("fold", LOG, "prediction"))
-        allp = parts[0]
-        for p in parts[1:]:
-            allp = allp.unionByName(p)
-        return metrics.fold_mean(allp, LOG, "prediction", "fold").first()["mean_fold_rmse"]
-
-    results = tune.run_trials(trials, score, parallelism=3)
-    best = min(results, key=lambda x: (x[1], x[0]["trial"]))[0]
-    every = encode.target_encode_oof(df, cats, LOG, "fold", smoothing=best["smoothing"], suffix="_te")
-    every = cut_lineage(models.assemble(fill(every, impute.exact_quantiles(df, nums, 0.5)), feats).select(LOG, "features"))
-    refit = forest(every, best)
-    rmse = _score(refit, every, "refit").first()["rmse"]
-    rows = [(int(t["trial"]), t["n_trees"], t["max_depth"], t["min_leaf"], t["smoothing"], float(s)) for t, s in results]
+    params = lambda t: trees.TreeParams(max_depth=int(t["max_depth"]), min_leaf=max(t["min_leaf"], 1.0), min_split=t["min_split"], node_fraction=t["max_features"], bootstrap=True)
+    scores = {}
+    for at in range(0, n_trials, 6):
+        mine = {f"t{int(t['trial'])}": t for t in trials[at : at + 6]}
+        grower, places = encoded_grower(rows, cats, nums, k, {n: t["smoothing"] for n, t in mine.items()})
+        forests = {f"{n}@{f}": trees.Forest(int(t["n_trees"]), params(t), f, SEED, places[n, f]) for n, t in mine.items() for f in range(k)}
+        scores |= fold_rmse(grower, trees.fit_forests(grower, forests), {f"{n}@{f}": f for n in mine for f in range(k)})
+    best = min(trials, key=lambda t: (scores[f"t{int(t['trial'])}"], t["trial"]))
+    # On all rows: encoded without a fold that no row is in.
+    grower, places = encoded_grower(rows.withColumn("fold", F.lit(1)), cats, nums, 1, {"best": best["smoothing"]})
+    refit = trees.fit_forests(grower, {"best": trees.Forest(int(best["n_trees"]), params(best), None, SEED, places["best", 0])})["best"]
+    rmse = metrics.metrics(trees.predict(grower.rows, {"pred": refit}, grower.d), "y", "pred", mape=False).first()["rmse"]
+    names = list(FOREST_SPACE)
     out = spark.createDataFrame(
-        rows, "trial int, n_trees double, max_depth double, min_leaf double, smoothing double, mean_fold_rmse double"
+        [(int(t["trial"]), *[float(t[n]) for n in names], scores[f"t{int(t['trial'])}"]) for t in trials],
+        ", ".join(["trial int", *[f"{n} double" for n in names], "mean_fold_rmse double"]),
     )
     mine = F.col("trial") == int(best["trial"])
-    return out.withColumns({"refit_trees": F.when(mine, F.lit(refit.getNumTrees)), "refit_rmse": F.when(mine, F.lit(rmse))})
+    return out.withColumns({"refit_trees": F.when(mine, F.lit(len(refit.trees))), "refit_rmse": F.when(mine, F.lit(rmse))})
+
+
+#: The reference's search space of leaf-wise boosting, but the number of rounds, which is the budget.
+BOOST_SPACE = {
+    "learning_rate": ("log", 0.01, 0.3), "max_depth": ("int", 3, 15), "num_leaves": ("int", 20, 200), "min_leaf": ("int", 5, 100),
+    "subsample": ("float", 0.5, 1.0), "colsample": ("float", 0.5, 1.0), "l1": ("log", 1e-8, 10.0), "l2": ("log", 1e-8, 10.0),
+    "smoothing": ("float", 0.5, 10.0),
+}
+
+
+def q_successive_halving(spark, d, n_trials: int = 100, k: int = 5, budgets=(3, 9, 27)):
+    """T4: prune boosting trials early. 100 trials are boosted a few rounds on all 5 folds, the best third goes on from there to
+    three times as many, and again; all trials and folds of a rung share their passes.
+
+    The space is the reference's; its smoothing is rounded to five values, so that trials share encoded columns, and
+    the rounds, up to 2000 there, are the budgets (README: measured times)."""
+    df, cats, nums = model_rows(spark, d)
+    rows = written(split.kfold(df, KEY, k, SEED).select(KEY, LOG, "fold", *cats, *nums), "halving-rows")
+    trials = [r.asDict() for r in tune.sample_trials(spark, BOOST_SPACE, n_trials, SEED).collect()]
+    steps = (0.5, 2.0, 4.0, 7.0, 10.0)
+    nearest = lambda t: min(range(len(steps)), key=lambda i: abs(steps[i] - t["smoothing"]))
+    grower, places = encoded_grower(rows, cats, nums, k, {f"s{i}": s for i, s in enumerate(steps)})
+
+    def runs(t, budget):
+        p = trees.TreeParams(
+            max_depth=int(t["max_depth"]), max_leaves=int(t["num_leaves"]), min_leaf=t["min_leaf"], l1=t["l1"], l2=t["l2"],
+            row_fraction=t["subsample"], feature_fraction=t["colsample"], learning_rate=t["learning_rate"],
+        )
+        return {f"t{int(t['trial'])}@{f}": trees.Boosting(budget, p, f, None, SEED, places[f"s{nearest(t)}", f]) for f in range(k)}
+
+    alive, out, found = trials, [], None
+    for rung, budget in enumerate(budgets):
+        wanted = {n: r for t in alive for n, r in runs(t, budget).items()}
+        found = trees.fit_boosting(grower, wanted, None if found is None else {n: found[n] for n in wanted})
+        score = {int(t["trial"]): float(np.mean([found[n].curve[-1][2] for n in runs(t, budget)])) for t in alive}
+        out += [(rung, i, float(budget), s) for i, s in score.items()]
+        alive = sorted(alive, key=lambda t: (score[int(t["trial"])], t["trial"]))[: max(1, len(alive) // 3)]
+    return spark.createDataFrame(out, "rung int, trial int, budget double, rmse double")
 
 
-def q_successive_halving(spark, d):
-    """T4: prune trials early — all trials on fold 0 with few trees, the best third go on with more."""
-    space = {"max_depth": ("int", 3, 10), "min_leaf": ("int", 1, 30)}
-    trials = [r.asDict() for r in tune.sample_trials(spark, space, 9, SEED).collect()]
-    train, valid = map(cut_lineage, fold_frames(spark, d, k=1)[0])
+# ------------------------------------------------------------------ OOF / hold-out matrices and stacking
 
-    def score_at(t, budget):
-        m = models.fit_forest(train, LOG, n_trees=int(budget), max_depth=int(t["max_depth"]), min_leaf=int(t["min_leaf"]))
-        return _score(m, valid, "f").first()["rmse"]
 
-    rows = tune.successive_halving(trials, score_at, budgets=[3, 9, 27], eta=3, parallelism=3)
-    return spark.createDataFrame(rows, "rung int, trial int, budget double, rmse double")
+#: The forest of the out-of-fold matrix.
+OOF_FOREST = trees.TreeParams(max_depth=18, min_leaf=9, min_split=18, node_fraction=0.698531189666078, bootstrap=True)
+SMOOTHINGS = {"lgbm": 2.0, "rf": 1.0128299345455185}
+OOF_MODELS = ("catboost", "lightgbm", "random_forest", *OOF_LINEAR)
 
 
-# ------------------------------------------------------------------ OOF / hold-out matrices and stacking
+def seven_models(rows: DataFrame, cats, nums, k: int, n_trees: int = 485, rounds: int = 500, leafwise_rounds: int = 5000, patience: int = 50, permutations: int = 3) -> DataFrame:
+    """B1 and B2, wide: key, fold, y and one column for each of the seven models, with encodings fitted without the fold.
 
+    Ordered boosting (``catboost``), leaf-wise boosting (``lightgbm``) and the forest are grown for all folds
+    together; the boosted ones stop by the fold they leave out, as the reference's do. The linear models come from one Gram pass.
+    Rows of no fold from 0 to k − 1 are only fitted on; with k = 1, fold 0 is a hold-out.
+    """
+    rows = written(rows.select(KEY, LOG, "fold", *cats, *nums), "seven-rows")
+    frame, feats = linear_frame(rows, cats, nums, k)
+    linear_part = linear.oof_linear(frame, linear.FoldGrams.of(frame, feats, LOG, "fold", k), OOF_LINEAR, "fold", keep=(KEY, F.col(LOG).alias("y")))
+    grower, places = encoded_grower(rows, cats, nums, k, SMOOTHINGS)
+    found = trees.fit_forests(grower, {f"random_forest@{f}": trees.Forest(n_trees, OOF_FOREST, f, SEED, places["rf", f]) for f in range(k)})
+    found |= trees.fit_boosting(grower, {f"lightgbm@{f}": trees.Boosting(leafwise_rounds, LEAFWISE, f, patience, SEED, places["lgbm", f]) for f in range(k)})
+    folds = {n: int(n.split("@")[1]) for n in found}
+    grown = trees.predict(grower.rows, found, grower.d, folds).select(F.col("key").alias(KEY), "random_forest", "lightgbm")
+    cat = ordered.oof_ordered(rows, cats, nums, KEY, LOG, "fold", k, ORDERED, rounds, patience, permutations, SEED)
+    out = linear_part.join(grown, KEY).join(cat.select(KEY, "catboost"), KEY)
+    return written(out.select(KEY, "fold", "y", *OOF_MODELS), "seven")
 
-def _fitters():
-    return {
-        "ridge": lambda tr: models.fit_linear(tr, LOG, models.LinearSpec("ridge", 100.0)),
-        "tree": lambda tr: models.fit_tree(tr, LOG, 8, 20),
-        "gbt": lambda tr: models.fit_gbt(tr, LOG, n_iter=10, lr=0.1, max_depth=5),
-    }
+
+#: The registered queries' share of the reference's sizes (README: measured times of the full ones).
+OOF_SIZES = {"n_trees": 100, "rounds": 60, "leafwise_rounds": 120, "patience": 20, "permutations": 2}
 
 
 def ml_oof(spark, d) -> DataFrame:
-    return ensemble.oof_predictions(fold_frames(spark, d), KEY, "fold", _fitters(), label=LOG)
+    df, cats, nums = model_rows(spark, d)
+    return seven_models(split.kfold(df, KEY, 5, SEED), cats, nums, 5, **OOF_SIZES)
 
 
 def q_oof_model_scores(spark, d):
-    """B1 + A12 + A16: 5-fold OOF predictions of three trained models; pooled and mean-fold RMSE."""
-    p = ml_oof(spark, d)
+    """B1 + A12 + A16: 5-fold OOF predictions of the seven models; pooled and mean-fold RMSE."""
+    p = ensemble.to_long(ml_oof(spark, d), OOF_MODELS, (KEY, "fold", "y"))
     pooled = metrics.model_scores(p)
     per_fold = metrics.fold_mean(p, "y", "pred", "fold", by=["model"])
     return pooled.join(per_fold, "model")
 
 
 def q_holdout_matrix(spark, d):
-    """B2 + J1: hold-out predictions of the three models aligned per key."""
-    df, _ = model_frame(spark, d)
-    train, valid = _split(df)
-    p = ensemble.holdout_predictions(train, valid, KEY, _fitters(), label=LOG)
-    return align(p, KEY, models=["gbt", "ridge", "tree"]).join(p.groupBy(KEY).agg(F.first("y").alias("y")), KEY)
+    """B2 + J1: hold-out predictions of the seven models side by side per key; a hold-out is one fold of a matrix of one."""
+    df, cats, nums = model_rows(spark, d)
+    valid = split.holdout_flag(KEY, 0.2, SEED)
+    return seven_models(df.withColumn("fold", F.when(valid, 0).otherwise(1)), cats, nums, 1, **OOF_SIZES).drop("fold")
 
 
 def q_stacking_trained(spark, d):
-    """Non-negative ridge stacking of the trained models' OOF predictions."""
-    return ensemble.stack_nonneg(ml_oof(spark, d), KEY, ["gbt", "ridge", "tree"])
+    """Non-negative ridge stacking of the seven models' OOF predictions."""
+    return ensemble.stack_nonneg(ml_oof(spark, d), list(OOF_MODELS))
 
 
 def q_weight_search_trained(spark, d):
-    """3000 random weight vectors over the trained models' OOF predictions; best trial."""
-    _, best = ensemble.weight_search(ml_oof(spark, d), KEY, ["gbt", "ridge", "tree"], n_trials=3000, seed=SEED)
+    """3000 random weight vectors over the seven models' OOF predictions; best trial."""
+    _, best = ensemble.weight_search(ml_oof(spark, d), list(OOF_MODELS), n_trials=3000, seed=SEED)
     return best
 
 

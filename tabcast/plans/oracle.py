@@ -375,6 +375,19 @@ SELECT "column", value, n, mean, prior * (1.0 - {lam}) + mean * {lam} AS encoded
   UNION ALL
   SELECT 'Hospital_Info', Hospital_Info, count(Transport_Cost_Log), avg(Transport_Cost_Log)
   FROM tr WHERE Hospital_Info IS NOT NULL GROUP BY 2) s CROSS JOIN pri"""
+    enc = lambda c: f"""
+e_{c} AS (SELECT coalesce({c}, 'Missing') AS v, count(*) AS n, avg(Transport_Cost_Log) AS mean FROM tr GROUP BY 1)"""
+    one = "prior * (1.0 - 1.0 / (1.0 + exp(-({0}.n - 20.0) / 1.0))) + {0}.mean * (1.0 / (1.0 + exp(-({0}.n - 20.0) / 1.0)))"
+    q["encoder_store"] = _w(RAW, f"""
+tr AS (SELECT * FROM lablog WHERE NOT ({VALID})),
+va AS (SELECT * FROM lablog WHERE {VALID}),
+pri AS (SELECT avg(Transport_Cost_Log) AS prior, CAST(quantile_cont(Equipment_Height, 0.5) AS DOUBLE) AS mh, CAST(quantile_cont(Equipment_Value, 0.5) AS DOUBLE) AS mv FROM tr),
+st AS (SELECT avg(coalesce(Equipment_Height, mh)) AS ah, stddev_pop(coalesce(Equipment_Height, mh)) AS sh,
+              avg(coalesce(Equipment_Value, mv)) AS av, stddev_pop(coalesce(Equipment_Value, mv)) AS sv FROM tr CROSS JOIN pri)""", enc("Transport_Method"), enc("Hospital_Info")) + f"""
+SELECT o_orderkey, coalesce({one.format('t')}, prior) AS Transport_Method, coalesce({one.format('h')}, prior) AS Hospital_Info,
+       (coalesce(Equipment_Height, mh) - ah) / sh AS Equipment_Height, (coalesce(Equipment_Value, mv) - av) / sv AS Equipment_Value
+FROM va CROSS JOIN pri CROSS JOIN st LEFT JOIN e_Transport_Method t ON t.v = coalesce(va.Transport_Method, 'Missing')
+LEFT JOIN e_Hospital_Info h ON h.v = coalesce(va.Hospital_Info, 'Missing')"""
     q["target_encode_oof"] = _w(
         RAW, ENG, FOLDS, _te_oof("Transport_Method", 2.0, 20), _te_oof("Hospital_Info", 2.0, 20)
     ) + """
@@ -432,6 +445,16 @@ SELECT o_orderkey, coalesce(Equipment_Weight, a + b * Equipment_Value) AS Equipm
     q["ols_one_feature"] = _w(RAW) + """
 SELECT regr_slope(Transport_Cost_Log, Equipment_Value) AS slope, regr_intercept(Transport_Cost_Log, Equipment_Value) AS intercept
 FROM lablog WHERE Equipment_Value IS NOT NULL"""
+    # One feature: w minimises ½(c + l2)w² − s·w + l1·|w|, on the moments of the other folds.
+    q["oof_linear_one_feature"] = _w(RAW, ENG, f"""
+d AS (SELECT o_orderkey, Transport_Cost_Log AS y, Equipment_Value AS x, {H('o_orderkey')} % 5 AS fold FROM eng WHERE Equipment_Value IS NOT NULL),
+k AS (SELECT DISTINCT fold FROM d),
+m AS (SELECT k.fold, count(*) AS n, avg(x) AS xm, avg(y) AS ym, covar_pop(y, x) AS s, var_pop(x) AS c
+      FROM k JOIN d ON d.fold <> k.fold GROUP BY k.fold),
+w AS (SELECT *, s / c AS w_ols, s / (c + 1e12 / n) AS w_ridge, sign(s) * greatest(abs(s) - 1000.0, 0) / c AS w_lasso,
+             sign(s) * greatest(abs(s) - 2000.0 * 0.25, 0) / (c + 2000.0 * 0.75) AS w_enet FROM m)""") + """
+SELECT o_orderkey, CAST(d.fold AS INT) AS fold, """ + ", ".join(f"ym + w_{n} * (x - xm) AS {n}" for n in ("ols", "ridge", "lasso", "enet")) + """
+FROM d JOIN w ON d.fold = w.fold"""
     q["iterative_impute_two_predictors"] = _w(RAW, """
 m AS (SELECT avg(Equipment_Value) AS mv, avg(Equipment_Width) AS mw FROM lab),
 d AS (SELECT o_orderkey, Supplier_Reliability AS y, Equipment_Value AS u, Equipment_Width AS v FROM lab
@@ -473,6 +496,11 @@ best AS (SELECT arg_min(model, (rmse, model)) AS best_model, min(rmse) AS best_r
          WHERE model NOT IN ('simple_average', 'weighted'))
 SELECT model, rmse, best_model, best_rmse, (best_rmse - rmse) / best_rmse * 100.0 AS improvement_pct
 FROM sc CROSS JOIN best WHERE model IN ('simple_average', 'weighted')"""
+    q["ensemble_difference"] = bw + """,
+man AS (SELECT o_orderkey, greatest(exp(sum(weight * pred)) - 1 - (SELECT Target_Shift_Value FROM shift), 0.0) AS value
+        FROM preds JOIN (VALUES ('mean', 0.64), ('group_mean', 0.01), ('line', 0.35)) v(model, weight) USING (model) GROUP BY o_orderkey),
+a AS (SELECT avg(value) AS mean_weighted FROM blend_out), b AS (SELECT avg(value) AS mean_manual FROM man)
+SELECT mean_weighted, mean_manual, abs(mean_weighted - mean_manual) AS abs_diff FROM a CROSS JOIN b"""
     q["prediction_summary"] = bw + """
 SELECT min(value) AS min, max(value) AS max, avg(value) AS mean, CAST(quantile_cont(value, 0.5) AS DOUBLE) AS median
 FROM blend_out"""

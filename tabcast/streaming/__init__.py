@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabcast.functions.mathx import clamp_min, inverse_target
+from tabcast.operators.transformer import FeatureEncoder
 
 
 def score_stream(
@@ -29,16 +30,22 @@ def score_stream(
     out_col: str = "prediction_value",
     clamp: float | None = 0.0,
     available_now: bool = True,
+    encoder_path: str | None = None,
 ):
-    """Score parquet files arriving in ``source_dir`` and append (key, value) to ``sink_dir``."""
+    """Score parquet files arriving in ``source_dir`` and append (key, value) to ``sink_dir``.
+
+    ``encoder_path``: a stored ``FeatureEncoder`` that makes the model's features from the arriving rows.
+    """
     model = PipelineModel.load(model_path)
+    encoder = FeatureEncoder.load(spark, encoder_path) if encoder_path else None
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         value = inverse_target("prediction", shift)
         if clamp is not None:
             value = clamp_min(value, clamp)
-        scored = model.transform(batch).select(key, value.alias(out_col), F.lit(batch_id).alias("batch_id"))
+        rows = batch if encoder is None else encoder.transform(batch)
+        scored = model.transform(rows).select(key, value.alias(out_col), F.lit(batch_id).alias("batch_id"))
         # overwrite only this batch's partition: a replayed batch replaces its own output
         (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink_dir))

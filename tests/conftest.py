@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from tabcast.session import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="tabcast-tests")
+    s = local_session(os.environ.get("TEST_CPUS", "*"), shuffle_partitions=8, app="tabcast-tests")
     yield s
     s.stop()
 

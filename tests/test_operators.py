@@ -182,7 +182,7 @@ def test_nnls_matches_bruteforce():
 def test_weight_search_rmse_equals_direct(spark, frame):
     base = split.kfold(frame, "k", 5)
     preds = ensemble.baseline_oof(base, "k", "y", "fold", "cat", "x1")
-    scored, best = ensemble.weight_search(preds, "k", ["group_mean", "line", "mean"], n_trials=20)
+    scored, best = ensemble.weight_search(ensemble.baseline_oof_wide(base, "k", "y", "fold", "cat", "x1"), ["group_mean", "line", "mean"], n_trials=20)
     row = scored.filter("trial = 7").first()
     wide = preds.groupBy("k").pivot("model", ["group_mean", "line", "mean"]).agg(F.first("pred")).join(
         preds.groupBy("k").agg(F.first("y").alias("y")), "k").toPandas()
@@ -193,6 +193,61 @@ def test_weight_search_rmse_equals_direct(spark, frame):
     assert b.rmse == pytest.approx(min(r.rmse for r in scored.collect()))
 
 
+def test_no_exchange_between_wide_predictions_and_the_gram(spark, frame):
+    """Neither the error Gram nor a blend shuffles rows; joins are broadcasts of per-fold and per-category rows."""
+    wide = ensemble.baseline_oof_wide(split.kfold(frame, "k", 5), "k", "y", "fold", "cat", "x1")
+    models = ["group_mean", "line", "mean"]
+    weights = spark.createDataFrame([("line", 0.7), ("mean", 0.3)], "model string, weight double")
+    errors = wide.select(*[(F.col(m) - F.col("y")).alias(m) for m in models])
+    for df in (errors, ensemble.blend_wide(wide, weights, models, ("k",))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows = [line for line in plan.split("\n") if " Exchange " in line and "k#" in line]
+        assert not rows and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_wide_blends_equal_long_ones(spark, frame):
+    base = split.kfold(frame, "k", 5)
+    models = ("mean", "group_mean", "line")
+    wide, long = (f(base, "k", "y", "fold", "cat", "x1") for f in (ensemble.baseline_oof_wide, ensemble.baseline_oof))
+    rows = [("s", "mean", 0.2), ("s", "line", 0.8), ("t", "line", 1.0), ("t", "mean", 0.0)]
+    weights = spark.createDataFrame(rows, "w string, model string, weight double")
+    got = ensemble.blend_wide(wide, weights, models, ("k",), set_col="w").toPandas().sort_values(["w", "k"])
+    want = ensemble.blend(long, weights, "k", set_col="w").toPandas().sort_values(["w", "k"])
+    assert np.allclose(got.blend_log, want.blend_log) and (got.k.to_numpy() == want.k.to_numpy()).all()
+    mean = wide.select("k", ensemble.average_wide(models).alias("p")).toPandas().sort_values("k")
+    assert np.allclose(mean.p, ensemble.simple_average(long, "k").toPandas().sort_values("k").pred)
+    again = ensemble.to_wide(long, "k", models).toPandas().sort_values("k")
+    assert np.allclose(again[list(models)], wide.toPandas().sort_values("k")[list(models)])
+
+
+def test_simplex_weights_are_optimal():
+    import itertools
+
+    rng = np.random.default_rng(8)
+    for trial in range(60):
+        m = 2 + trial % 5
+        e = rng.normal(size=(30, m)) * rng.uniform(0.2, 3, m) + rng.normal(size=(30, 1))
+        if trial % 7 == 0:
+            e[:, -1] = e[:, 0]  # two models alike
+        E = e.T @ e
+        w = solve.simplex_weights(E)
+        assert (w >= 0).all() and np.isclose(w.sum(), 1)
+        best = np.inf
+        for used in itertools.chain.from_iterable(itertools.combinations(range(m), k) for k in range(1, m + 1)):
+            k = len(used)
+            kkt = np.block([[E[np.ix_(used, used)], np.ones((k, 1))], [np.ones((1, k)), np.zeros((1, 1))]])
+            z = np.linalg.lstsq(kkt, np.append(np.zeros(k), 1.0), rcond=None)[0][:k]
+            if (z >= -1e-12).all():
+                best = min(best, float(z @ E[np.ix_(used, used)] @ z))
+        assert w @ E @ w <= best * (1 + 1e-9)
+
+
+def test_best_weights_are_not_beaten_by_any_trial(spark, frame):
+    wide = ensemble.baseline_oof_wide(split.kfold(frame, "k", 5), "k", "y", "fold", "cat", "x1")
+    rows = ensemble.best_weights(wide, ["group_mean", "line", "mean"], n_trials=200).collect()
+    assert math.isclose(sum(r.weight for r in rows), 1.0, rel_tol=1e-9) and rows[0].rmse <= rows[0].best_trial_rmse + 1e-12
+
+
 def test_line_model_beats_mean(spark, frame):
     base = split.kfold(frame, "k", 5)
     preds = ensemble.baseline_oof(base, "k", "y", "fold", "cat", "x1").toPandas()
@@ -226,3 +281,28 @@ def test_knn_matches_numpy(spark):
             w = 1 / d[nn]
             exp = (w * ty[nn]).sum() / w.sum()
         assert math.isclose(got.loc[1000 + i, "pred"], exp, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("shape", ["clusters", "isotropic", "ties"])
+def test_knn_cells_are_exact_and_few_where_there_is_structure(spark, shape):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 3)) * 40
+    T = {"clusters": centres[rng.integers(0, 12, 600)] + rng.normal(size=(600, 3)), "isotropic": rng.normal(size=(600, 6)), "ties": rng.integers(0, 3, (600, 2)).astype(float)}[shape]
+    Q = T[rng.integers(0, 600, 80)] + (rng.normal(size=(80, T.shape[1])) * 0.1 if shape != "ties" else 0.0)
+    tr = spark.createDataFrame([(i, [float(v) for v in t], float(i % 7)) for i, t in enumerate(T)], "key long, vec array<double>, y double")
+    qu = spark.createDataFrame([(1000 + i, [float(v) for v in q]) for i, q in enumerate(Q)], "key long, vec array<double>")
+    got = {}
+    for r in knn.knn_neighbours(tr, qu, k=5, block_rows=40).collect():
+        got.setdefault(r.qkey, []).append((r["rank"], r.tkey, r.dist))
+    for i, q in enumerate(Q):
+        d = np.sqrt(((T - q) ** 2).sum(axis=1))
+        want = np.lexsort((np.arange(600), d))[:5]
+        rows = sorted(got[1000 + i])
+        assert [t for _, t, _ in rows] == want.tolist() and np.allclose([x for *_, x in rows], d[want])
+    _, visited, cells = knn.knn_visits(tr, qu, k=5, block_rows=40)
+    share = visited.agg(F.avg("visited")).first()[0] / len(cells.pivots)
+    if shape == "clusters":
+        assert share < 0.35
+    few = knn.knn_neighbours(tr.limit(3), qu, k=5).groupBy("qkey").count().collect()
+    assert {r["count"] for r in few} == {3} and len(few) == 80
+    assert knn.knn_neighbours(tr.limit(0), qu, k=5).count() == 0
