@@ -170,8 +170,8 @@ def test_alignment_equals_brute_force(spark, tokenizers, monkeypatch):
 
 
 def test_long_groups_are_counted_not_listed():
-    unit = tokenizer_alignment.Unit([5] * 30_000, [7] * 30_000, [(0, 30_000, 0, 30_000)], tokenizer_alignment.Pairs())
-    assert unit.sizes == (30_000, 30_000, 1, 900_000_000) and len(unit.pairs) == 1 and unit.links == (900_000_000,)
+    pairs, links = tokenizer_alignment.links_of([5] * 30_000, [7] * 29_999 + [8])
+    assert dict(zip(pairs, links)) == {(5 << 32) + 7: 30_000 * 29_999, (5 << 32) + 8: 30_000}
 
 
 # ---------------------------------------------------------------- token counts
