@@ -9,16 +9,15 @@ from tabcast.llm import chat, embedding_dedup, language_id, mixing, nearest, ngr
 from tabcast.llm.common import table
 
 
-def toxicity_scorer(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Scorer:
-    """A scorer from the toxic labels of ``docs`` that are not held out."""
-    known = table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", F.col("toxic").alias("label"))
-    return toxicity.fit(docs.select("doc_id", "text"), known)
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxic labels that are not held out."""
+    return table(spark, sf_dir, "labels").where(~toxicity.held_out()).select("doc_id", F.col("toxic").alias("label"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score all documents for toxicity by their nearest labelled examples."""
+    """Score all documents for toxicity by their nearest labelled examples; the nearest three come as evidence."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score(docs, toxicity_scorer(spark, sf_dir, docs))
+    scored = toxicity.score(docs, toxic_labels(spark, sf_dir), keep=["doc_id"])
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", F.slice("evidence", 1, 3).alias("evidence"))
 
 

@@ -261,17 +261,26 @@ def test_toxicity_finds_held_out_texts(spark):
     extra = [(200, "", "s"), (201, None, "s"), (None, "you idiot, you scum", "s"), (202, "idiot scum " * 20_000, "s"), (5, rows[5][1], "s")]
     docs = spark.createDataFrame(_rows(rows + extra), DOCS)
     known = spark.createDataFrame(labels[:120] + [(0, 1), (None, 1), (3, None)], "doc_id long, label int")
-    scorer = toxicity.fit(docs.select("doc_id", "text"), known)
-    got = toxicity.score(docs, scorer).collect()
+    clashing = docs.withColumns({"v": F.lit(1), "_toxicity": F.lit("kept"), "score": F.lit("replaced")})
+    scored = toxicity.score(clashing, known)
+    assert scored.columns == [*docs.columns, "v", "_toxicity", "score", "predicted", "evidence"]
+    got = scored.collect()
+    assert {(r["v"], r["_toxicity"]) for r in got} == {(1, "kept")}
     assert len(got) == len(rows) + len(extra) and all(0 <= r["score"] <= 1 for r in got)
     held = {r["doc_id"]: r["predicted"] for r in got if r["doc_id"] is not None and 120 <= r["doc_id"] < 160}
     assert held == {i: y for i, y in labels[120:]}
     by_id = {r["doc_id"]: r for r in got}
     assert by_id[None]["predicted"] == 1 and by_id[202]["predicted"] == 1 and by_id[200]["score"] == by_id[201]["score"] < 0.3
     assert all(e["label"] == 1 for e in by_id[202]["evidence"])
-    none = toxicity.fit(docs.select("doc_id", "text"), known.where("false"))
-    assert {r["predicted"] for r in toxicity.score(docs, none).collect()} == {0}
-    assert toxicity.score(docs.where("false"), scorer).count() == 0
+    assert {r["predicted"] for r in toxicity.score(docs, known.where("false")).collect()} == {0}
+    assert toxicity.score(docs.where("false"), known).count() == 0
+    # A fitted model scores other documents as it scores those that it was fitted on.
+    model, _ = toxicity.fit(docs, known, keep=["doc_id"])
+    again = {r["doc_id"]: r["score"] for r in toxicity.score_with(docs, model).collect()}
+    assert all(abs(again[r["doc_id"]] - r["score"]) < 1e-12 for r in got)
+    # Fewer terms than the examples have together: a part of them, smallest hash first.
+    few, _ = toxicity.fit(docs, known, max_postings=3000)
+    assert 0 < len(few.ids) < len(model.ids)
 
 
 def test_toxicity_searches_clean_examples_for_every_text(spark):
@@ -282,9 +291,10 @@ def test_toxicity_searches_clean_examples_for_every_text(spark):
     rows += [(i, " ".join(r.choices(manner, k=12) + r.choices(words, k=30)), "s") for i in range(120, 150)]
     labels = [(i, int(i >= 120)) for i in range(150)]
     docs = spark.createDataFrame(_rows(rows), DOCS)
-    scorer = toxicity.fit(docs.select("doc_id", "text"), spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, label int"))
-    assert len(scorer.ids) == 100 and sum(scorer.labels) == 20
-    got = {x["doc_id"]: x for x in toxicity.score(docs, scorer).collect()}
+    known = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, label int")
+    model, _ = toxicity.fit(docs, known)
+    assert len(model.ids) == 100 and sum(model.labels) == 20
+    got = {x["doc_id"]: x for x in toxicity.score(docs, known).collect()}
     assert all(len(x["evidence"]) == toxicity.NEIGHBOURS for x in got.values())
     assert {i: got[i]["predicted"] for i, _ in labels if i % 3 == 0} == {i: y for i, y in labels if i % 3 == 0}
 
@@ -305,6 +315,28 @@ def test_block_max_index_is_exact():
         assert sorted(c for c, _ in got) == sorted(c for c, _ in best) and {i for c, i in got if c > best[-1][0]} == {i for c, i in best if c > best[-1][0]}
 
 
+def test_block_max_index_skips_blocks_before_summing_them():
+    """Examples in groups with words of their own: a query sums few blocks, also where the words are common in the examples."""
+    r = random.Random(9)
+    vectors = []
+    for g in range(20):
+        for _ in range(64):
+            v = {100 * g + t: r.random() + 0.5 for t in r.sample(range(30), 12)} | {5000 + t: 0.1 for t in range(20)}
+            n = sum(x * x for x in v.values()) ** 0.5
+            vectors.append({t: x / n for t, x in v.items()})
+    index = toxicity.BlockMaxIndex(vectors, list(range(len(vectors))))
+    for q in range(0, len(vectors), 40):
+        cosines = sorted((-sum(w * vectors[i].get(t, 0) for t, w in vectors[q].items()), i) for i in range(len(vectors)))[:15]
+        assert [round(c, 9) for _, c in index.nearest(vectors[q], 15)] == [round(-c, 9) for c, _ in cosines]
+    assert index.visited < 0.35 * index.asked
+
+
+def test_terms_are_packed_and_unpacked():
+    for terms, counts in (([], []), ([0, 5, 6, 400_000], [1, 2, 3, 70_000]), ([3], [1])):
+        t, c = toxicity.unpack_terms(*toxicity.pack_terms(np.array(terms, dtype=np.int64), np.array(counts, dtype=np.int64)))
+        assert t.tolist() == terms and c.tolist() == counts
+
+
 def _vectors():
     r = np.random.default_rng(5)
     x = r.standard_normal((300, 16))
