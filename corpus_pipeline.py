@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from tabcast.llm import mixing, ngram_join, packing, pii, toxicity
 from tabcast.llm.common import materialise, table
-from tabcast.llm.queries import tokenizer_path, toxicity_scorer
+from tabcast.llm.queries import tokenizer_path, toxic_labels
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples do not show as toxic."""
     # The row travels as one value, so its columns may have any names.
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("text"))
-    return toxicity.score(rows, toxicity_scorer(spark, sf_dir, docs)).where("predicted = 0").select("row.*")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("doc_id"), F.col("text"))
+    scored = toxicity.score(rows, toxic_labels(spark, sf_dir), keep=["row"])
+    return scored.where("predicted = 0").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
