@@ -34,6 +34,8 @@ HOT_SHARE = 1 / 4096
 HOT_SAMPLE = 65_536
 #: Rows of a hot key that one task takes; at least and at most so many tasks share a key.
 ROWS_A_SHARE, SHARES = 100_000, (8, 4096)
+#: Lookups of the search that one plan holds; the driver's memory grows with a plan.
+ROUNDS_A_PLAN = 3
 #: Ids that are joined to one text before they are hashed.
 IDS_A_CHUNK = 4096
 ROOT = -1
@@ -114,7 +116,9 @@ def locate(batch: DataFrame, nodes: DataFrame, longest: int, hot: DataFrame, sha
     """
     handles = nodes.select(F.col("f").alias("depth"), F.col("fh").alias("hash"), F.struct("path", "level", "low", F.col("depth").alias("d"), "eh").alias("node"))
     q = batch.withColumns({"l": F.lit(0), "r": F.col("len"), "path": F.lit(ROOT).cast("long"), "level": F.lit(0)})
-    for _ in range(longest.bit_length()):
+    for step_ in range(longest.bit_length()):
+        if step_ and step_ % ROUNDS_A_PLAN == 0:
+            q = materialise(q, "trie-search")
         open_ = F.col("l") < F.col("r")
         f = F.when(open_, two_fattest("l", "r")).otherwise(-1 - F.col("len"))
         q = q.withColumn("depth", f).withColumn("hash", F.when(open_, F.element_at("hs", F.greatest("depth", F.lit(1)))).otherwise(F.col("whole")))
