@@ -9,14 +9,13 @@ votes, weighted by nearness and calibrated on the examples themselves, give the
 the evidence.
 
 The driver holds arrays of bounded size only: the vocabulary, the examples' vectors and a histogram of
-their votes. The lookup table of terms and the index are built in the workers.
+their votes. The lookup table of terms and the index are built in the tasks.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -251,7 +250,6 @@ class Model:
     """What scoring needs, as arrays: terms, their weights, the examples' vectors, and the calibration."""
 
     def __init__(self, terms: pa.Array, weights, ids: list[int], labels: list[int], vectors: list[tuple[bytes, bytes]]):
-        self.key = uuid.uuid4().hex
         self.terms, self.weights = terms, weights
         bare = [y for y, (t, _) in zip(labels, vectors) if len(t) == 1]
         #: Score of a text without any word of the vocabulary: the share of toxic texts among such examples.
@@ -263,7 +261,7 @@ class Model:
 
 
 class Scorer:
-    """A ``Model`` with its index, built in a worker."""
+    """A ``Model`` with its index, built in a task."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -301,16 +299,6 @@ class Scorer:
         return out
 
 
-#: What a worker has built, by what it was built from: one lookup of terms and one scorer.
-_built: dict[str, tuple[str, object]] = {}
-
-
-def _build(kind: str, key: str, make):
-    if _built.get(kind, ("",))[0] != key:
-        _built[kind] = (key, make())
-    return _built[kind][1]
-
-
 def _sigmoid_fit(raw, labels, counts=None, rounds: int = 60) -> tuple[float, float]:
     """Slope and shift of the sigmoid that fits the votes best, labels drawn in a little as by Platt; the slope is positive.
 
@@ -392,16 +380,18 @@ def _vocabulary(sample: DataFrame) -> tuple[pa.Array, np.ndarray]:
 
 def _with_vectors(docs: DataFrame, terms: pa.Array, text_col: str, out: str) -> DataFrame:
     """``docs`` with ``out``: the packed numbers and counts of the text's terms."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(terms), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     @F.arrow_udf("struct<terms:binary,counts:binary>")
-    def vectors(texts: pa.Array) -> pa.Array:
-        find = _build("terms", key, lambda: Terms({t: i for i, t in enumerate(shared.value.to_pylist())}))
-        rows = []
-        for at in range(0, len(texts), 256):
-            rows += [pack_terms(*find(t or "")) for t in texts.slice(at, 256).to_pylist()]
-        columns = [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]
-        return pa.StructArray.from_arrays(columns, names=["terms", "counts"])
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # Built by each task and gone with it: a worker that goes on to other stages keeps nothing of it.
+        find = Terms({t: i for i, t in enumerate(shared.value.to_pylist())})
+        for texts in batches:
+            rows = []
+            for at in range(0, len(texts), 256):
+                rows += [pack_terms(*find(t or "")) for t in texts.slice(at, 256).to_pylist()]
+            columns = [pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]
+            yield pa.StructArray.from_arrays(columns, names=["terms", "counts"])
 
     return docs.withColumn(out, vectors(F.col(text_col)))
 
@@ -432,7 +422,7 @@ def _calibrate(model: Model, spark) -> None:
     shared = spark.sparkContext.broadcast(model)
 
     def votes(batches: Iterator) -> Iterator:
-        scorer = _build("scorer", shared.value.key, lambda: Scorer(shared.value))
+        scorer = Scorer(shared.value)
         for batch in batches:
             rows = batch["id"].to_pylist()
             found = scorer.votes_of_examples(rows)
@@ -479,14 +469,15 @@ def _scored(stage: DataFrame, model: Model, threshold: float) -> DataFrame:
     shared = stage.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<score:double,evidence:array<struct<example_id:long,cosine:double,label:int>>>")
-    def scores(vectors: pa.Array) -> pa.Array:
-        scorer = _build("scorer", f"{shared.value.key}-fitted", lambda: Scorer(shared.value))
-        found = []
-        for at in range(0, len(vectors), 16 * TOGETHER):
-            found += scorer.score([unpack_terms(v["terms"], v["counts"]) for v in vectors.slice(at, 16 * TOGETHER).to_pylist()])
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(shared.value)
         near = pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
-        evidence = pa.array([[{"example_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found], pa.list_(near))
-        return pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.float64()), evidence], names=["score", "evidence"])
+        for vectors in batches:
+            found = []
+            for at in range(0, len(vectors), 4 * TOGETHER):
+                found += scorer.score([unpack_terms(v["terms"], v["counts"]) for v in vectors.slice(at, 4 * TOGETHER).to_pylist()])
+            evidence = pa.array([[{"example_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found], pa.list_(near))
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.float64()), evidence], names=["score", "evidence"])
 
     kept = [c for c in stage.schema["row"].dataType.names if c not in ("score", "evidence", "predicted")]
     out = stage.withColumn("v", scores(F.col("v")))
