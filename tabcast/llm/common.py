@@ -16,7 +16,10 @@ from tabcast.sources.tables import table
 #: Fixed by the contracts: a word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "components", "hash_bucket", "materialise", "split_rank", "table"]
+#: Rows of a hot key that one task takes; at least and at most so many tasks share a key.
+ROWS_A_SHARE, SHARES = 100_000, (8, 4096)
+
+__all__ = ["WORD", "components", "hash_bucket", "materialise", "shares", "split_rank", "spread_join", "table"]
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -35,6 +38,24 @@ def hash_bucket(key: Column, buckets: int, seed: int = 7) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)).cast("int")
 
 
+def spread_join(big: DataFrame, small: DataFrame, on: list[str], hot: DataFrame, salt: str, shares: int) -> DataFrame:
+    """``big`` left join ``small`` (unique by ``on``); rows with a key in ``hot`` are dealt over ``shares`` tasks.
+
+    ``hot`` has a bounded number of keys and is broadcast; only their rows of ``small`` are repeated.
+    """
+    marked = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
+    share = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt), F.lit(shares))).otherwise(F.lit(0)).cast("int")
+    all_shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array(F.lit(0)))
+    left = big.join(marked, on, "left").withColumn("_share", share).drop("_hot")
+    right = small.join(marked, on, "left").withColumn("_share", F.explode(all_shares)).drop("_hot")
+    return left.join(right, [*on, "_share"], "left").drop("_share")
+
+
+def shares(rows: int) -> int:
+    """In how many tasks a hot key's rows are dealt, among so many rows."""
+    return max(SHARES[0], min(SHARES[1], rows // ROWS_A_SHARE))
+
+
 def split_rank(df: DataFrame, by: list[str], bucket: str, order: list[Column], rank: str) -> DataFrame:
     """Number the rows of each ``by`` group from 0 without ever holding a group in one task.
 

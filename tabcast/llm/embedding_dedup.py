@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabcast.llm.common import components, materialise
+from tabcast.llm.common import components, materialise, shares, spread_join
 
 #: The codebooks are fitted on at most so many vectors, those of smallest hash; all are indexed.
 SAMPLE = 8192
@@ -61,6 +61,11 @@ def unpacked(vectors, kind: str):
     return np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(float)
 
 
+def codes_for(vectors: int) -> int:
+    """Codes of each half, so that a cell of the grid has about BLOCK vectors at any size, CODES at least."""
+    return max(CODES, math.isqrt(vectors // BLOCK))
+
+
 def _codebook(x, codes: int, rounds: int = 12):
     """k-means centres of the rows of ``x``; starts are spread over the rows, so reruns agree."""
     import numpy as np
@@ -200,48 +205,89 @@ def _cells(vectors: DataFrame, books, kind: str, cosine: float, recall: float, b
     return vectors.mapInArrow(run, "cell string, block int, side int, id long, n long, v binary")
 
 
-def _links_in_cell(cosine: float, kind: str):
-    def run(pdf):
+def _merge(label, near):
+    """Smaller labels for residents that a visitor of ``near`` (visitors × residents) links; equal labels stay equal."""
+    import numpy as np
+
+    none = len(label)
+    linked = near.any(axis=0)
+    if not linked.any():
+        return label
+    near = near[near.any(axis=1)][:, linked]
+    while True:
+        mine = label[linked]
+        least = np.where(near, mine, none).min(axis=1)
+        new = np.minimum(mine, np.where(near, least[:, None], none).min(axis=0))
+        if (new == mine).all():
+            return label
+        to = np.arange(none + 1)
+        np.minimum.at(to, mine, new)
+        while (to[to] != to).any():
+            to = to[to]
+        label = to[label]
+
+
+def _links_in_cells(cosine: float, kind: str, chunk: int = 512):
+    """From rows sorted by (cell, block, side) to (id, n_links, root): links counted, and links that join all that reach each other.
+
+    The residents of a block come first, a bounded number; visitors stream past them in chunks. A visitor is
+    joined to one of the residents it links, and residents that visitors link are joined among themselves at
+    the end of the block, so a task holds a block and a chunk however many visitors come and however many link.
+    """
+
+    def run(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
-
-        home, seen = pdf[pdf["side"] == 0], pdf[pdf["side"] > 0]
-        if home.empty or seen.empty:
-            return pd.DataFrame({"id": [], "n_links": [], "root": []}, dtype="int64")
-        y = unpacked(home["v"], kind)
-        y_id, y_n = home["id"].to_numpy(), home["n"].to_numpy()
-        y_norm, y_links = np.linalg.norm(y, axis=1), np.zeros(len(home), np.int64)
-        counts, x_rows, y_rows = [], [], []
-        for at in range(0, len(seen), 1024):
-            part = seen.iloc[at : at + 1024]
-            x, x_id, x_n = unpacked(part["v"], kind), part["id"].to_numpy(), part["n"].to_numpy()
-            near = (x @ y.T) / (np.linalg.norm(x, axis=1)[:, None] * y_norm) >= cosine
-            near &= x_id[:, None] != y_id
-            counts.append((x_id, near @ y_n))
+        import pyarrow as pa
+
+        def rows(ids, links, roots):
+            return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, dtype=np.int64)) for c in (ids, links, roots)], names=["id", "n_links", "root"])
+
+        key, home, state = None, [], None
+
+        def settle():
+            """The block's residents as arrays, once the first visitor comes."""
+            y = unpacked([r[2] for r in home], kind)
+            return {"y": y, "norm": np.linalg.norm(y, axis=1), "id": np.array([r[0] for r in home]), "n": np.array([r[1] for r in home]), "label": np.arange(len(home)), "links": np.zeros(len(home), np.int64)}
+
+        def visit(part):
+            x, x_id, x_n = unpacked([r[2] for r in part], kind), np.array([r[0] for r in part]), np.array([r[1] for r in part])
+            near = (x @ state["y"].T) / (np.linalg.norm(x, axis=1)[:, None] * state["norm"]) >= cosine
+            near &= x_id[:, None] != state["id"]
             # Visitors of other cells are links of those who live here; neighbours in the cell visit each other.
-            y_links += (x_n * (part["side"].to_numpy() == 2)) @ near
-            a, b = np.nonzero(near)
-            x_rows.append(x_id[a])
-            y_rows.append(y_id[b])
-        # The smallest id that each vector reaches through links of this cell: a forest, not all links.
-        a, b = np.concatenate(x_rows), np.concatenate(y_rows)
-        ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-        a, b = at[: len(a)], at[len(a) :]
-        root = np.arange(len(ids))
-        while len(a):
-            low = np.minimum(root[a], root[b])
-            new = root.copy()
-            np.minimum.at(new, a, low)
-            np.minimum.at(new, b, low)
-            np.minimum.at(new, root, new)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-        found = pd.DataFrame({"id": ids, "n_links": 0, "root": ids[root]})
-        linked = pd.DataFrame({"id": np.concatenate([*(c[0] for c in counts), y_id]), "n_links": np.concatenate([*(c[1] for c in counts), y_links])})
-        linked = linked[linked["n_links"] > 0].assign(root=lambda t: t["id"])
-        return pd.concat([found, linked]).astype("int64")[["id", "n_links", "root"]]
+            state["links"] += (x_n * np.array([r[3] == 2 for r in part])) @ near
+            state["label"] = _merge(state["label"], near)
+            some = near.any(axis=1)
+            return rows(x_id[some], (near @ state["n"])[some], state["id"][near.argmax(axis=1)][some])
+
+        def leave():
+            if state is None:
+                return rows([], [], [])
+            return rows(state["id"], state["links"], state["id"][state["label"]])
+
+        for batch in batches:
+            visitors = []
+            for cell, block, side, *row in zip(*(batch[c].to_pylist() for c in ("cell", "block", "side", "id", "n", "v"))):
+                if (cell, block) != key:
+                    if visitors:
+                        yield visit(visitors)
+                        visitors = []
+                    if key is not None:
+                        yield leave()
+                    key, home, state = (cell, block), [], None
+                if side == 0:
+                    home.append(row)
+                    continue
+                if not home:
+                    continue  # nobody lives here
+                state = state or settle()
+                visitors.append((*row, side))
+                if len(visitors) == chunk:
+                    yield visit(visitors)
+                    visitors = []
+            if visitors:
+                yield visit(visitors)
+        if key is not None:
+            yield leave()
 
     return run
 
@@ -262,20 +308,27 @@ def near_duplicates(
     kind = number_type(v)
     classes = v.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
     classes = materialise(packed(classes.select("id", "n", "v")), "dedup-vectors")
-    books = fit_codebooks(classes, kind)
+    count = classes.count()
+    books = fit_codebooks(classes, kind, codes=codes_for(count))
     # A cell of very many vectors is cut into blocks, and visitors come to each; there is one such cell per ``block`` vectors at most.
     places = _cells(classes, books, kind, cosine, recall, None).groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
     blocks = {r["cell"]: -(-r["size"] // block) for r in places.where(F.col("size") > block).collect()}
     cells = _cells(classes, books, kind, cosine, recall, blocks)
-    links = cells.groupBy("cell", "block").applyInPandas(_links_in_cell(cosine, kind), "id long, n_links long, root long")
-    links = materialise(links, "dedup-links")
+    dealt = cells.repartition("cell", "block").sortWithinPartitions("cell", "block", "side", "id")
+    links = materialise(dealt.mapInArrow(_links_in_cells(cosine, kind), "id long, n_links long, root long"), "dedup-links")
     roots = components(links.where("id <> root"), "id", "root")
     counts = links.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     found = classes.select("id", "n").join(counts, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
     found = found.select(
         F.col("id").alias("class"), (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id")
     )
-    members = v.withColumn("class", F.min("id").over(_by_vector()))
+    # Rows find their class by 128 bits of hashes; a vector that very many rows share is dealt over many tasks.
+    hashes = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")]
+    by_hash = v.groupBy(*hashes).agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("n"))
+    by_hash = materialise(by_hash, "dedup-classes")
+    total = by_hash.agg(F.sum("n")).first()[0] or 0
+    hot = by_hash.where(F.col("n") >= max(2, total // 1000)).select("h1", "h2")
+    members = spread_join(v.select("id", *hashes), by_hash.drop("n"), ["h1", "h2"], hot, "id", shares(total))
     named = members.select("id", "class").join(found, "class").groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = rows.select(F.col(id_col).cast("long").alias("row_id")).join(named, F.col("row_id") == F.col("id"), "left")
     component = F.coalesce("component_id", "row_id")
@@ -285,9 +338,3 @@ def near_duplicates(
         component.alias("component_id"),
         (F.col("row_id") == component).alias("kept"),
     )
-
-
-def _by_vector():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("v")

@@ -94,7 +94,7 @@ WITH RECURSIVE steps AS (  -- CRC-32 by its table, which the rule below builds
 ), crc AS (
   SELECT list(v ORDER BY i) AS tbl FROM steps WHERE n = 8
 ), r AS (
-  SELECT CAST(conv_id AS BIGINT) AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+  SELECT CAST(conv_id AS BIGINT) AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '')), md5(coalesce(text, ''))) AS i,
          md5(coalesce(role, '')) || md5(coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars
   FROM conversations WHERE conv_id IS NOT NULL
 ), ids AS (

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabcast.llm.common import materialise
+from tabcast.llm.common import materialise, shares as _shares, spread_join
 
 #: Conversations of the first batch, and how much larger each later one is.
 FIRST_BATCH = 4096
@@ -32,8 +32,6 @@ GROWTH = 16
 #: A prefix is hot if it has this share of the prefixes of a sample of so many conversations.
 HOT_SHARE = 1 / 4096
 HOT_SAMPLE = 65_536
-#: Rows of a hot key that one task takes; at least and at most so many tasks share a key.
-ROWS_A_SHARE, SHARES = 100_000, (8, 4096)
 #: Lookups of the search that one plan holds; the driver's memory grows with a plan.
 ROUNDS_A_PLAN = 3
 #: Ids that are joined to one text before they are hashed.
@@ -43,8 +41,8 @@ ROOT = -1
 def sequences(rows: DataFrame) -> DataFrame:
     """Conversations as (conv_id, turns): digest and number of code points of each turn, in order.
 
-    ``rows``: conv_id, turn, role, text. Turns are ordered by turn, null first, equal ones by role and
-    text; a null role or text is empty. Rows with a null conv_id belong to no conversation and are left out.
+    ``rows``: conv_id, turn, role, text. Turns are ordered by turn, null first, equal ones by the
+    MD5 of role and text; a null role or text is empty. Rows with a null conv_id belong to no conversation and are left out.
     The texts stay where they are read: 16 bytes and a number of each turn meet in one row.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
@@ -81,23 +79,6 @@ def two_fattest(low: str, high: str) -> Column:
     return F.expr(f"shiftleft(shiftright({high}, {bits}), {bits})")
 
 
-def spread_join(big: DataFrame, small: DataFrame, on: list[str], hot: DataFrame, salt: str, shares: int) -> DataFrame:
-    """``big`` left join ``small`` (unique by ``on``); rows with a key in ``hot`` are dealt over ``shares`` tasks.
-
-    ``hot`` has a bounded number of keys and is broadcast; only their rows of ``small`` are repeated.
-    """
-    marked = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
-    share = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt), F.lit(shares))).otherwise(F.lit(0)).cast("int")
-    all_shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array(F.lit(0)))
-    left = big.join(marked, on, "left").withColumn("_share", share).drop("_hot")
-    right = small.join(marked, on, "left").withColumn("_share", F.explode(all_shares)).drop("_hot")
-    return left.join(right, [*on, "_share"], "left").drop("_share")
-
-
-def _shares(rows: int) -> int:
-    return max(SHARES[0], min(SHARES[1], rows // ROWS_A_SHARE))
-
-
 def _hot_prefixes(batch: DataFrame, rows: int) -> DataFrame:
     """(depth, hash) of the prefixes with more than HOT_SHARE of a sample's prefixes: 1 / HOT_SHARE rows at most."""
     drawn = batch if rows <= HOT_SAMPLE else batch.where(F.col("u") % F.lit(rows // HOT_SAMPLE) == 0)

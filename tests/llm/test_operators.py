@@ -368,6 +368,45 @@ def test_embedding_dedup_links(spark, block):
     assert most >= 0.9 * sum(n.values())
 
 
+def test_a_block_of_mutually_linked_vectors_takes_bounded_memory():
+    """4,096 residents and 20,000 visitors that all link each other: counts and roots, without holding the pairs."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = np.random.default_rng(1)
+    n, kind = 20_000, "<f4"
+    x = (np.ones(16) + 0.01 * r.standard_normal((n, 16))).astype(kind)
+    names = ["cell", "block", "side", "id", "n", "v"]
+
+    def batches():
+        rows = [("c", 0, 0, i, 1, x[i].tobytes()) for i in range(4096)] + [("c", 0, 1 if i < 4096 else 2, i, 1, x[i].tobytes()) for i in range(n)]
+        rows += [("d", 0, 0, n + 1, 2, x[0].tobytes()), ("e", 0, 1, n + 2, 2, x[0].tobytes())]
+        for at in range(0, len(rows), 5000):
+            yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in rows[at : at + 5000]])
+
+    tracemalloc.start()
+    links, roots = {}, {}
+    for b in embedding_dedup._links_in_cells(0.95, kind)(batches()):
+        for i, k, root in zip(*(b[c].to_pylist() for c in ("id", "n_links", "root"))):
+            links[i] = links.get(i, 0) + k
+            roots.setdefault(i, set()).add(root)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+    # Residents see the others of the block and the visitors of other cells; those see the residents.
+    assert all(links[i] == (n - 1 if i < 4096 else 4096) for i in range(n)) and links.get(n + 1, 0) == 0
+    low = _reach(set(roots) | {0}, [(i, j) for i, js in roots.items() for j in js])
+    assert {low[i] for i in range(n)} == {0} and n + 2 not in roots
+
+
+def test_residents_joined_by_later_visitors_get_one_label():
+    label = np.arange(6)
+    for near in ([[1, 1, 0, 0, 0, 0]], [[0, 0, 1, 1, 0, 0]], [[0, 0, 0, 0, 0, 0]], [[0, 0, 0, 1, 1, 0], [0, 1, 0, 0, 1, 0]]):
+        label = embedding_dedup._merge(label, np.array(near, dtype=bool))
+    assert label.tolist() == [0, 0, 0, 0, 0, 5]
+
+
 def test_multi_sequence_visits_cells_in_order():
     a, b = [(0.0, 3), (0.2, 1), (0.5, 2)], [(0.0, 9), (0.1, 8), (0.4, 7)]
     cost = {(i, j): x + y for x, i in a for y, j in b}
