@@ -16,10 +16,11 @@ from tabcast.llm.queries import tokenizer_path, toxic_labels
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples do not show as toxic."""
+    # Only ids are written beside the terms that the model is fitted on; the rows, which are large, are scored as they are read.
+    model, _ = toxicity.fit(docs, toxic_labels(spark, sf_dir), keep=["doc_id"])
     # The row travels as one value, so its columns may have any names.
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("doc_id"), F.col("text"))
-    scored = toxicity.score(rows, toxic_labels(spark, sf_dir), keep=["row"])
-    return scored.where("predicted = 0").select("row.*")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("text"))
+    return toxicity.score_with(rows, model).where("predicted = 0").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
