@@ -21,6 +21,7 @@ from tabcast.operators.encode import apply_label_dictionary, fit_label_dictionar
 from tabcast.operators.impute import constant_fill, iterative_impute
 from tabcast.operators.joins import one_row_broadcast
 from tabcast.schema import columns_by_type
+from tabcast.session import written
 
 # Columns the reference drops, its binary column and its origin flag.
 DROP_COLUMNS = ("Hospital_Location", "Supplier_Name")
@@ -75,6 +76,8 @@ def preprocess(
         if b in combined.columns:
             combined = combined.withColumn(b, yes_no_code(b))
     label_cols = [c for c in cats if c not in BINARY_COLUMNS]
+    # The dictionary, the imputer and both results read these rows.
+    combined = written(combined, "combined")
     fit_df = combined if fit_on == "union" else combined.filter(F.col(ORIGIN) == 1)
     dictionary = fit_label_dictionary(fit_df, label_cols)
     combined = apply_label_dictionary(combined, dictionary, label_cols)
