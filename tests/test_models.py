@@ -65,3 +65,28 @@ def test_best_rounds_counts_not_indices():
     curve = [(1, "validation", 3.0), (2, "validation", 2.0), (3, "validation", 2.5), (4, "validation", 2.6)]
     assert models.best_rounds(curve, "validation") == 2
     assert models.best_rounds(curve, "validation", patience=1) == 2
+
+
+def test_a_pipeline_indexes_all_categories_in_one_pass():
+    from pyspark.ml.feature import StringIndexer
+
+    from tabcast.operators import models
+
+    stages = models.dtype_dispatch(["x"], ["a", "b", "c"]).getStages()
+    assert [s.getInputCols() for s in stages if isinstance(s, StringIndexer)] == [["a", "b", "c"]]
+
+
+def test_cut_lineage_computes_its_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from tabcast.session import cut_lineage
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def note(x):
+        seen.add(1)
+        return x
+
+    out = cut_lineage(spark.range(50, numPartitions=2).select(note("id").alias("id")))
+    assert out.count() == 50 and seen.value == 50
