@@ -306,3 +306,23 @@ def test_knn_cells_are_exact_and_few_where_there_is_structure(spark, shape):
     few = knn.knn_neighbours(tr.limit(3), qu, k=5).groupBy("qkey").count().collect()
     assert {r["count"] for r in few} == {3} and len(few) == 80
     assert knn.knn_neighbours(tr.limit(0), qu, k=5).count() == 0
+
+
+def test_partial_neighbours_keep_ties_and_drop_what_lies_beyond_the_bound():
+    import numpy as np
+    import pandas as pd
+
+    from tabcast.operators import knn
+
+    r = np.random.default_rng(3)
+    t = np.repeat(r.normal(size=(60, 5)) * 1e3 + 1e6, 4, axis=0)
+    q = np.concatenate([t[::40], r.normal(size=(20, 5)) * 1e3 + 1e6])
+    train = pd.DataFrame({"key": r.permutation(len(t)), "vec": list(t), "y": r.normal(size=len(t))})
+    d = np.sqrt(((q[:, None] - t[None]) ** 2).sum(axis=2))
+    bound = np.where(np.arange(len(q)) % 2 == 0, np.nan, np.sort(d, axis=1)[:, 5])
+    got = knn._partial_topk(7)(train, pd.DataFrame({"key": np.arange(len(q)), "vec": list(q), "y": bound}))
+    for i in range(len(q)):
+        order = np.lexsort((train["key"], d[i]))[:7]
+        want = [int(train["key"][j]) for j in order if not d[i, j] > bound[i]]
+        assert got[got["qkey"] == i]["tkey"].tolist() == want
+    assert len(got) < 7 * len(q)
