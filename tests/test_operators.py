@@ -319,7 +319,7 @@ def test_partial_neighbours_keep_ties_and_drop_what_lies_beyond_the_bound():
     q = np.concatenate([t[::40], r.normal(size=(20, 5)) * 1e3 + 1e6])
     train = pd.DataFrame({"key": r.permutation(len(t)), "vec": list(t), "y": r.normal(size=len(t))})
     d = np.sqrt(((q[:, None] - t[None]) ** 2).sum(axis=2))
-    bound = np.where(np.arange(len(q)) % 2 == 0, np.nan, np.sort(d, axis=1)[:, 5])
+    bound = np.where(np.arange(len(q)) % 2 == 0, np.nan, np.sort(d, axis=1)[:, 3])
     got = knn._partial_topk(7)(train, pd.DataFrame({"key": np.arange(len(q)), "vec": list(q), "y": bound}))
     for i in range(len(q)):
         order = np.lexsort((train["key"], d[i]))[:7]
