@@ -11,9 +11,10 @@ by their rank among the pieces of their length, so no document ids pass through
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,13 @@ TIERS = (256, 512, 1024, 2048)
 END_ID = 1
 #: Words whose ids a task keeps at hand; the memory of a task stays bounded at any vocabulary.
 WORDS_KEPT = 300_000
+#: Bytes of texts that a task encodes at a time, about.
+TEXT_BYTES = 6_000_000
+#: Special-token marks and white space beyond ASCII's own.
+ODD_TEXT = r"<\||[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Characters that a word has beside plain Latin ones, and the tokenizer file's pre-tokenising pattern.
+ODD_WORD = r"[^\x00-\x{12f}\x{132}-\x{24f}]"
+PART = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
 
 _PIECES = (
     "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, row_key long"
@@ -39,59 +47,99 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        # Fixed values of the tokenizer file: its pre-tokenising pattern.
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.odd_text = re.compile(r"<\||[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
-        self.odd_word = re.compile(r"[^\x00-\u012f\u0132-\u024f]").search
         # Byte-level BPE spells printable bytes as themselves and the rest as code points from 256 on.
         plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         rest = iter(range(256, 512))
-        self.spell = [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
-
-    def word(self, w: str) -> tuple[int, ...]:
-        got = self.old.get(w)
-        if got is None:
-            if self.odd_word(w):
-                got = tuple(self.tokenizer.encode(w, add_special_tokens=False).ids)
-            else:
-                got = ()
-                for part in self.split(w.lower()):
-                    ids = self.parts.get(part)
-                    if ids is None:
-                        # Printable ASCII is spelt as itself.
-                        spelt = part if part.isascii() and part.isprintable() else "".join([self.spell[b] for b in part.encode()])
-                        ids = tuple([t.id for t in self.model.tokenize(spelt)])
-                        if len(self.parts) >= WORDS_KEPT:
-                            self.parts.clear()
-                        self.parts[part] = ids
-                    got += ids
-        if len(self.young) >= WORDS_KEPT:
-            self.old, self.young = self.young, {}
-        self.young[w] = got
-        return got
-
-    def encode(self, text: str):
+        self.spell = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+        #: Ids as bytes, of what was looked up lately and of what was before that.
+        self.words: list[dict[str, bytes]] = [{}, {}]
+        self.parts: list[dict[str, bytes]] = [{}, {}]
+
+    def _word(self, w: str) -> bytes:
+        return array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        # Printable ASCII is spelt as itself.
+        spelt = part if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(self.spell)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    @staticmethod
+    def _looked_up(values, known: list[dict[str, bytes]], make):
+        """The ids of all ``values`` (an Arrow array), one after the other, and how many each has."""
         import numpy as np
 
-        if self.odd_text(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        out: list[int] = []
-        get, extend = self.young.get, out.extend
-        for w in text.split():
-            ids = get(w)
+        found, (young, old) = [], known
+        for v in values.to_pylist():
+            ids = young.get(v)
             if ids is None:
-                ids = self.word(w)
-                get = self.young.get  # the table at hand may be a new one now
-            extend(ids)
-        return np.array(out, dtype="<u4")
+                ids = old.get(v)
+                if ids is None:
+                    ids = make(v)
+                if len(young) >= WORDS_KEPT:
+                    old, young = young, {}
+                young[v] = ids
+            found.append(ids)
+        known[:] = young, old
+        return np.frombuffer(b"".join(found), dtype="=u4"), np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+
+    def _words(self, words):
+        """``_looked_up`` of words that hold no white space: plain ones by their different parts."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        odd = pc.match_substring_regex(words, ODD_WORD)
+        ids, size = self._looked_up(words.filter(odd), self.words, self._word)
+        if len(size) == len(words):
+            return ids, size
+        plain = pc.utf8_lower(words.filter(pc.invert(odd)))
+        # Words of letters alone are one part each.
+        mixed = pc.invert(pc.utf8_is_alpha(plain))
+        plain = pc.replace_with_mask(plain, mixed, pc.replace_substring_regex(plain.filter(mixed), PART, r"\1 "))
+        split = pc.ascii_split_whitespace(plain)
+        parts = split.flatten().dictionary_encode()
+        part_ids, part_n = _taken(*self._looked_up(parts.dictionary, self.parts, self._part), parts.indices.to_numpy())
+        after = np.append(0, np.cumsum(part_n))[split.offsets.to_numpy()]
+        if not len(size):
+            return part_ids, np.diff(after)
+        # Odd words lie behind the plain ones until all are taken in their order.
+        order, odd = np.empty(len(words), dtype=np.int64), odd.to_numpy(zero_copy_only=False)
+        order[~odd], order[odd] = np.arange(len(plain)), np.arange(len(plain), len(words))
+        return _taken(np.concatenate([part_ids, ids]), np.concatenate([np.diff(after), size]), order)
+
+    def encode(self, texts):
+        """The ids of all ``texts`` (an Arrow array), one text after the other, and where each text's end.
+
+        The different words of the texts are looked up once each."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        at = words.indices.to_numpy()
+        out, n = _taken(*self._words(words.dictionary), at)
+        stop = split.offsets.to_numpy()[1:].astype(np.int64)
+        ends = np.append(0, np.cumsum(n))[stop]
+        odd = pc.match_substring_regex(words.dictionary, ODD_TEXT).to_numpy(zero_copy_only=False)
+        if odd.any():
+            parts = np.split(out, ends[:-1])
+            for i in np.unique(np.searchsorted(stop, np.flatnonzero(odd[at]), side="right")).tolist():
+                parts[i] = np.frombuffer(self._word(texts[i].as_py()), dtype="=u4")
+            out, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        return out, ends
+
+
+def _taken(ids, size, at):
+    """The runs of ``ids`` (``size`` says how long each is) that ``at`` names, one after the other, and their sizes."""
+    import numpy as np
+
+    n = size[at]
+    before = (np.cumsum(size) - size)[at] - np.cumsum(n) + n
+    return ids[np.repeat(before, n) + np.arange(int(n.sum()))], n
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -115,17 +163,23 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, window: int = TIERS[-
         import pyarrow as pa
 
         encode = _encoder(tokenizer_path).encode
-        for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, text, key in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist(), batch["_key"].to_pylist()):
-                ids = np.append(encode(text or ""), np.uint32(end)).astype("<u4")
-                for at in range(0, len(ids), window):
-                    part = ids[at : at + window]
-                    rows.append((doc_id, at, len(part), zlib.crc32(part.tobytes()), len(ids), key))
-            cols = list(zip(*rows)) or [()] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "row_key")
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=list(names))
+        for whole in batches:
+            step = max(1, whole.num_rows * TEXT_BYTES // max(whole["_text"].nbytes, 1))
+            for first in range(0, whole.num_rows, step):
+                batch = whole.slice(first, step)
+                out, ends = encode(batch["_text"])
+                rows: list[tuple] = []
+                begin = 0
+                for doc_id, key, stop in zip(batch["_id"].to_pylist(), batch["_key"].to_pylist(), ends.tolist()):
+                    ids = np.append(out[begin:stop], np.uint32(end)).astype("<u4")
+                    begin = stop
+                    for at in range(0, len(ids), window):
+                        part = ids[at : at + window]
+                        rows.append((doc_id, at, len(part), zlib.crc32(part.tobytes()), len(ids), key))
+                cols = list(zip(*rows)) or [()] * 6
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "row_key")
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=list(names))
 
     slim = docs.select(
         F.col(id_col).cast("long").alias("_id"),

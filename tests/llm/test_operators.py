@@ -188,6 +188,26 @@ def test_packing_covers_every_id_once(spark, corpus):
     assert padded - sum(r["length"] for r in got) < 2048 * 2
 
 
+def test_packing_looks_up_each_word_once(monkeypatch):
+    """A batch of texts has the tokenizer's ids, and each of its different parts of words goes to the model once."""
+    import pyarrow as pa
+
+    encoder = packing.WordEncoder(tokenizer_path())
+    odd = ["", None, " a  b ", "Hi<|endoftext|> there", "x\x85y z", "\x0bq\x0c", "Don't STOP'LL 12 İı ß éÉ 日本語 日本語", "\x1cfoo", "a\x00b", "ŉ ǅ ªº"]
+    texts = odd + ["the same words, the SAME words. " * 50] * 20 + odd
+    made = []
+    monkeypatch.setattr(encoder, "_part", lambda p, make=encoder._part: made.append(p) or make(p))
+    for _ in range(2):
+        ids, ends = encoder.encode(pa.array(texts))
+        for text, got in zip(texts, np.split(ids, ends[:-1]), strict=True):
+            assert got.tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert len(made) == len(set(made)) and {"the", "same", "words"} <= set(made)
+    # Parts that the tables have no room for are found again.
+    monkeypatch.setattr(packing, "WORDS_KEPT", 2)
+    assert encoder.encode(pa.array(texts))[0].tolist() == ids.tolist()
+    assert encoder.encode(pa.array([], pa.string()))[0].tolist() == []
+
+
 def test_packing_plan_uses_every_piece():
     r = random.Random(3)
     histogram = {k: r.randint(1, 40) for k in r.sample(range(1, 2049), 600)}
