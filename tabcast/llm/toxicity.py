@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tabcast.llm.common import materialise
 
@@ -265,8 +266,11 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known = [self.vector(*unpack_terms(*v)) for v in model.vectors]
-        self.index = BlockMaxIndex(self.known, model.ids) if self.known else None
+        self.index = BlockMaxIndex([self.known(i) for i in range(len(model.ids))], model.ids) if model.ids else None
+
+    def known(self, i: int) -> tuple:
+        """The vector of an example."""
+        return self.vector(*unpack_terms(*self.model.vectors[i]))
 
     def vector(self, terms, counts) -> tuple:
         w = (1 + np.log(counts)) * self.model.weights[terms]
@@ -283,7 +287,7 @@ class Scorer:
 
     def votes_of_examples(self, rows: list[int]) -> list[float]:
         """The votes of examples, each left out of its own search."""
-        return [self.vote(x) for x in self.index.nearest_of([self.known[i] for i in rows], buts=rows)]
+        return [self.vote(x) for x in self.index.nearest_of([self.known(i) for i in rows], buts=rows)]
 
     def score(self, vectors: list[tuple]) -> list[tuple[float, list[tuple[int, float, int]]]]:
         """(score, evidence) of each (terms, counts): evidence holds (example id, cosine, label) of the nearest examples."""
@@ -465,17 +469,22 @@ def fit(
 
 
 def _scored(stage: DataFrame, model: Model, threshold: float) -> DataFrame:
-    """The columns of ``row`` in ``stage`` (row, v) with score, predicted and evidence."""
+    """The columns of ``row`` in ``stage`` (row, v) with score, predicted and evidence; v holds packed terms, or the text itself.
+
+    Texts go through one function, as a second one would have a worker of its own beside each task."""
     shared = stage.sparkSession.sparkContext.broadcast(model)
+    texts = not isinstance(stage.schema["v"].dataType, StructType)
 
     @F.arrow_udf("struct<score:double,evidence:array<struct<example_id:long,cosine:double,label:int>>>")
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
+        find = Terms({t: i for i, t in enumerate(shared.value.terms.to_pylist())}) if texts else None
         near = pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
         for vectors in batches:
             found = []
             for at in range(0, len(vectors), 4 * TOGETHER):
-                found += scorer.score([unpack_terms(v["terms"], v["counts"]) for v in vectors.slice(at, 4 * TOGETHER).to_pylist()])
+                part = vectors.slice(at, 4 * TOGETHER).to_pylist()
+                found += scorer.score([find(v or "") if texts else unpack_terms(v["terms"], v["counts"]) for v in part])
             evidence = pa.array([[{"example_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found], pa.list_(near))
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.float64()), evidence], names=["score", "evidence"])
 
@@ -498,8 +507,7 @@ def score(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, thr
 
 def score_with(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``score`` of other documents with a fitted model; they are not written."""
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text_col].alias("text"))
-    return _scored(_with_vectors(rows, model.terms, "text", "v").select("row", "v"), model, threshold)
+    return _scored(docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text_col].alias("v")), model, threshold)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -303,6 +303,16 @@ def test_toxicity_finds_held_out_texts(spark):
     assert 0 < len(few.ids) < len(model.ids)
 
 
+def test_toxicity_of_other_documents_takes_one_worker_a_task(spark):
+    rows, labels = _labelled()
+    docs = spark.createDataFrame(_rows(rows + [(200, "", "s"), (201, None, "s")]), DOCS)
+    model, stage = toxicity.fit(docs, spark.createDataFrame(labels[:120], "doc_id long, label int"))
+    scored = toxicity.score_with(docs, model)
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    want = toxicity._scored(stage, model, toxicity.THRESHOLD)
+    assert sorted(scored.collect(), key=str) == sorted(want.collect(), key=str)
+
+
 def test_toxicity_searches_clean_examples_for_every_text(spark):
     """A toxic manner of few examples, whose words are too rare each to lean beyond chance, is found by its neighbours."""
     r, words = random.Random(6), _vocabulary(300)
