@@ -481,12 +481,17 @@ def _scored(stage: DataFrame, model: Model, threshold: float) -> DataFrame:
         find = Terms({t: i for i, t in enumerate(shared.value.terms.to_pylist())}) if texts else None
         near = pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
         for vectors in batches:
-            found = []
-            for at in range(0, len(vectors), 4 * TOGETHER):
+            done = []
+            # Arrays for a few texts at a time: the evidence of a whole batch as Python objects takes many times their size.
+            for at in range(0, max(len(vectors), 1), 4 * TOGETHER):
                 part = vectors.slice(at, 4 * TOGETHER).to_pylist()
-                found += scorer.score([find(v or "") if texts else unpack_terms(v["terms"], v["counts"]) for v in part])
-            evidence = pa.array([[{"example_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found], pa.list_(near))
-            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.float64()), evidence], names=["score", "evidence"])
+                found = scorer.score([find(v or "") if texts else unpack_terms(v["terms"], v["counts"]) for v in part])
+                evidence = pa.array([[{"example_id": i, "cosine": c, "label": y} for i, c, y in e] for _, e in found], pa.list_(near))
+                done.append(pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.float64()), evidence], names=["score", "evidence"]))
+            yield pa.concat_arrays(done)
+            del vectors, done, part, found, evidence
+        # The worker goes on to other stages; what the arrays took goes back.
+        pa.default_memory_pool().release_unused()
 
     kept = [c for c in stage.schema["row"].dataType.names if c not in ("score", "evidence", "predicted")]
     out = stage.withColumn("v", scores(F.col("v")))
