@@ -116,6 +116,19 @@ def test_exact_quantiles_sketch_path(spark):
         assert math.isclose(got["v"], float(np.quantile(vals, q)), rel_tol=1e-12)
 
 
+def test_exact_quantiles_of_one_column_share_a_sketch(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    ties, vals = rng.integers(0, 4, 3000).astype(float), rng.normal(size=3000)
+    df = spark.createDataFrame(pd.DataFrame({"t": ties, "v": vals}))
+    calls, sketch = [], F.percentile_approx
+    monkeypatch.setattr(impute.F, "percentile_approx", lambda *a: calls.append(a) or sketch(*a))
+    qs = (0.25, 0.5, 0.75)
+    assert impute.exact_quantiles(df, ["t"], qs, accuracy=500) == {q: {"t": float(np.quantile(ties, q))} for q in qs}
+    assert len(calls) == 1
+    got = impute.exact_quantiles(df, ["t", "v"], qs, accuracy=500)
+    assert all(math.isclose(got[q]["v"], float(np.quantile(vals, q)), rel_tol=1e-12) for q in qs)
+
+
 def test_most_frequent_ties_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",)], "c string")
     r = impute.most_frequent(df, ["c"]).first()
