@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -79,6 +80,31 @@ def test_ngram_join_is_exact(spark, corpus, monkeypatch):
     assert len(links) > 20 and low[61] == 0 and low[62] == 62
 
 
+def test_ngram_join_in_many_parts_is_the_same(spark, corpus, monkeypatch):
+    some = corpus[:8] + corpus[40:48] + corpus[60:67] + [(1000 + i, t, "x") for i, t, _ in corpus[:8] for _ in range(2)]
+    docs = spark.createDataFrame(_rows(some), DOCS)
+    want = sorted(map(str, ngram_join.ngram_jaccard_join(docs).collect()))
+    for name, value in (("BROADCAST_IDS", 0), ("PAIRS_AT_A_TIME", 10), ("TOKENS_A_SHARE", 800)):
+        monkeypatch.setattr(ngram_join, name, value)
+    assert sorted(map(str, ngram_join.ngram_jaccard_join(docs).collect())) == want
+    # More copies than can be sent to every task, and fewer of what stays.
+    copied = spark.createDataFrame(_rows([(i + 100 * k, t, s) for i, t, s in corpus[:4] for k in range(6)] + [(None, "a b", "s")] * 2), DOCS)
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 5)
+    assert sorted(map(str, ngram_join.one_of_each(copied).select("doc_id").toPandas()["doc_id"])) == ["0.0", "1.0", "2.0", "3.0", "nan", "nan"]
+
+
+def test_ngram_join_leaves_little_on_disk(spark, corpus, monkeypatch):
+    """Texts and sets are gone once nothing reads them; sizes and links stay."""
+    from tabcast.session import scratch_path
+
+    made = []
+    monkeypatch.setattr("tabcast.session.scratch_path", lambda s, name: made.append(scratch_path(s, name)) or made[-1])
+    out = ngram_join.ngram_jaccard_join(spark.createDataFrame(_rows(corpus), DOCS))
+    left = {os.path.basename(p).rpartition("-")[0] for p in made if os.path.exists(p.removeprefix("file:"))}
+    assert "join-sizes" in left and not left & {"join-sets", "join-buckets", "join-texts", "join-orders", "join-left", "join-bitmaps", "join-pairs"}
+    assert out.count() == len(corpus)
+
+
 def test_one_of_each_keeps_one_row_of_a_group(spark, corpus):
     docs = spark.createDataFrame(_rows(corpus), DOCS)
     kept = ngram_join.one_of_each(docs)

@@ -1,5 +1,7 @@
 """Spark ML fits reproduce the reference's objectives under the parameter mapping."""
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -90,3 +92,25 @@ def test_cut_lineage_computes_its_rows_once(spark):
 
     out = cut_lineage(spark.range(50, numPartitions=2).select(note("id").alias("id")))
     assert out.count() == 50 and seen.value == 50
+
+
+def test_written_rows_take_the_place_of_their_shuffle_files(spark):
+    import time
+
+    from tabcast.session import release, written
+
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in files.getAllFiles().mkString(" ").split() if "shuffle_" in f and f.endswith(".data")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffles(), spark.conf.get(setting, None)
+    df = written(spark.range(10_000).repartition(4, "id").groupBy("id").count(), "cleaned")
+    for _ in range(50):  # by another thread
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(setting, None) == was
+    assert df.count() == 10_000
+    path = df._scratch.removeprefix("file:")
+    assert os.path.exists(path)
+    release(df, spark.range(1))
+    assert not os.path.exists(path)
