@@ -339,3 +339,25 @@ def test_partial_neighbours_keep_ties_and_drop_what_lies_beyond_the_bound():
         want = [int(train["key"][j]) for j in order if not d[i, j] > bound[i]]
         assert got[got["qkey"] == i]["tkey"].tolist() == want
     assert len(got) < 7 * len(q)
+
+
+def test_knn_of_long_vectors_takes_little_memory():
+    import tracemalloc
+
+    r = np.random.default_rng(3)
+    x, pivots = r.normal(size=(3000, 200)), r.normal(size=(64, 200))
+    train = pd.DataFrame({"key": np.arange(3000), "vec": list(x), "y": x[:, 0]})
+    query = pd.DataFrame({"key": np.arange(400), "vec": list(x[:400] + 0.01), "y": np.full(400, np.nan)})
+    tracemalloc.start()
+    try:
+        d = knn._distances(x, pivots)
+        distances = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        found = knn._partial_topk(100)(train, query)
+        nearest = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 3000 x 64 x 200 differences at once would be 307 MB, those of 400 x 100 pairs 64 MB each.
+    assert distances < 20e6 and nearest < 110e6
+    assert np.allclose(d[:5], np.sqrt(((x[:5, None] - pivots) ** 2).sum(axis=2)))
+    assert len(found) == 40_000 and (found.groupby("qkey")["dist"].min().to_numpy() < 0.2).all()
