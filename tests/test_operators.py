@@ -361,3 +361,16 @@ def test_knn_of_long_vectors_takes_little_memory():
     assert distances < 20e6 and nearest < 110e6
     assert np.allclose(d[:5], np.sqrt(((x[:5, None] - pivots) ** 2).sum(axis=2)))
     assert len(found) == 40_000 and (found.groupby("qkey")["dist"].min().to_numpy() < 0.2).all()
+
+
+def test_pca_variance_holds_nothing(spark):
+    rows = spark.createDataFrame([(float(i % 7), float(i % 5) if i % 3 else None, float(i * i % 11)) for i in range(200)], "a double, b double, c double")
+    persisted = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    before = persisted()
+    filled, _ = impute.median_fill(rows, rows, ["a", "b", "c"], again=True)
+    k, table, _, centred = encode.pca_variance(filled, ["a", "b", "c"])
+    assert persisted() == before and centred.count() == 200
+    x = filled.toPandas().to_numpy()
+    want = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    assert np.allclose([r["explained"] for r in table.orderBy("component").collect()], want / want.sum()) and k == 3
+    assert impute.exact_quantiles(rows, ["a", "b", "c"], 0.5, again=True) == impute.exact_quantiles(rows, ["a", "b", "c"], 0.5)
